@@ -37,6 +37,8 @@ LOOKED_LIKE = "ABEKMHOPCTYXIJSaeopcyxijsABEZHIKMNOPTYXo"
 #: Full-width forms of the printable ASCII characters, by rule.
 FULL_WIDTH = "".join(chr(0xFEE0 + i) for i in range(0x21, 0x7F))
 ASCII = "".join(map(chr, range(0x21, 0x7F)))
+#: Greek letters written out or as such, and the letter a symbol has for them.
+GREEK = (("alpha", "\u03b1", "a"), ("beta", "\u03b2", "b"), ("gamma", "\u03b3", "g"), ("delta", "\u03b4", "d"))
 ROMAN = ("I", "II", "III", "IV", "V", "VI", "VII", "VIII", "IX")
 
 
@@ -52,7 +54,7 @@ def folded(c: Column) -> Column:
 def without_affixes(c: Column) -> Column:
     """What stands before or after a name without making it another: species, product, antibody, genotype, isoform."""
     c = F.regexp_replace(c, r"^(?:(?i:human|murine|mouse|anti)[ -]+|h(?=[A-Z][A-Z0-9-])|[\x{0394}\x{03B4}]-?)", "")
-    tail = r"(?:[ -]+(?i:genes?|proteins?|mrna|cdna|transcript|locus|human|isoform|alpha|beta|gamma|delta|epsilon)|-2\d\d| ?\((?:\+|-|(?i:human))\)|[ -]?[\x{03B1}-\x{03B5}])+$"
+    tail = r"(?:[ -]+(?i:genes?|proteins?|mrna|cdna|transcript|locus|human|isoform)|-2\d\d| ?\((?:\+|-|(?i:human))\))+$"
     return F.regexp_replace(F.regexp_replace(c, tail, ""), r"^[ .\"']+|[ .\"']+$", "")
 
 
@@ -64,6 +66,15 @@ def unroman(c: Column) -> Column:
     return out
 
 
+def ungreek(c: Column) -> Column:
+    """A Greek letter at the end, after a digit or a hyphen, as the letter of a symbol; null where there is none."""
+    out = F.lit(None).cast("string")
+    for name, sign, letter in GREEK:
+        tail = rf"(?i)(?:(?<=[0-9])|[-_ ])(?:{name}|{sign})$"
+        out = F.when(c.rlike(tail), F.regexp_replace(c, tail, letter)).otherwise(out)
+    return out
+
+
 def joined(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
 
@@ -127,7 +138,7 @@ def views(values: DataFrame, longest: int, most_words: int) -> DataFrame:
     whole, parts = F.array(F.col("f")), F.split(F.col("f"), r"[()\[\]{}/]")
     texts = F.transform(F.concat(whole, F.when(F.size(parts) > 1, parts).otherwise(F.array().cast("array<string>"))), lambda p: without_affixes(p))
     texts = F.array_distinct(F.filter(F.concat(texts, whole), lambda p: p != ""))
-    shapes = F.transform(texts, lambda p: F.array(F.array(joined(p)), words(p), F.array(joined(unroman(p)))))
+    shapes = F.transform(texts, lambda p: F.array(F.array(joined(p)), words(p), F.array(joined(unroman(p))), F.array(joined(ungreek(p)))))
     shapes = F.filter(F.array_distinct(F.flatten(shapes)), lambda t: (F.size(t) > 0) & (F.size(t) <= most_words) & ~F.exists(t, lambda x: F.coalesce(x, F.lit("")) == ""))
     return base.select("value", F.posexplode(shapes).alias("view", "tokens"))
 
