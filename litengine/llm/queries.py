@@ -99,3 +99,19 @@ def variant_matches(spark: SparkSession, d: str) -> DataFrame:
 def p5_confidence(spark: SparkSession, d: str) -> DataFrame:
     """The matches with their marginal probabilities."""
     return variant_matches(spark, d)
+
+
+@query()
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    from litengine.llm import leakage as LE
+
+    items = [(r[0], r[1]) for r in table(spark, d, "eval_items").select("item_id", "item_text").collect()]  # a fixed list of 240
+    return LE.leaks(table(spark, d, "documents"), items).select("doc_id", "item_id")
+
+
+@query()
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    from litengine.llm import readability as RD
+
+    docs = table(spark, d, "documents")
+    return RD.bands(docs, RD.fit(RD.labelled_texts(docs, table(spark, d, "reading_labels"))))
