@@ -115,3 +115,11 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
     docs = table(spark, d, "documents")
     return RD.bands(docs, RD.fit(RD.labelled_texts(docs, table(spark, d, "reading_labels"))))
+
+
+@query()
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    from litengine.llm import sentences as SE
+
+    arts = table(spark, d, "articles").filter("pmid is not null and abstract is not null").select("pmid", "abstract")
+    return SE.sentences(arts.groupBy("pmid").agg(F.max("abstract").alias("abstract")), "pmid", "abstract")
