@@ -123,3 +123,49 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
     arts = table(spark, d, "articles").filter("pmid is not null and abstract is not null").select("pmid", "abstract")
     return SE.sentences(arts.groupBy("pmid").agg(F.max("abstract").alias("abstract")), "pmid", "abstract")
+
+
+def packable(spark: SparkSession, d: str) -> DataFrame:
+    """Entries of the runs for every budget, pieces of those that exceed it, each with its cost."""
+    from litengine.functions import tokens as TK
+    from litengine.llm import packing as PK
+
+    values = entries(spark, d).filter(F.regexp_replace("value", r"\s+", "") != "")
+    values = values.withColumn("t", TK.estimate(TK.ascii_json_length(F.col("value")))).drop("value")
+    budgets = [tuple(r) for r in table(spark, d, "pack_budgets").filter("token_limit > 0").select("budget_id", "token_limit", F.coalesce("item_overhead", F.lit(0)).alias("item_overhead")).collect()]  # a fixed list
+    each = F.explode(F.array(*(F.struct(F.lit(b).alias("budget_id"), F.lit(c).alias("token_limit"), F.lit(o).alias("item_overhead")) for b, c, o in budgets)))
+    rows = values.withColumn("b", each).select("run_id", "bucket", "pos", "t", "b.*")
+    return PK.pieces(rows, F.col("t"), F.col("token_limit"), F.col("item_overhead")).drop("t", "item_overhead")
+
+
+@query()
+def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    from litengine.llm import packing as PK
+
+    out = PK.pack(packable(spark, d), ["run_id", "budget_id"], "token_limit", ["bucket", "pos", "piece"])
+    return out.select("run_id", "budget_id", "container", "bucket", "pos", "piece", "cost")
+
+
+@query()
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    """For each budget: containers, the least number that could do (by space alone), and how full they are."""
+    limits = table(spark, d, "pack_budgets").select("budget_id", "token_limit")
+    per = p7_packed(spark, d).groupBy("run_id", "budget_id").agg(F.count_distinct("container").alias("containers"), F.sum("cost").alias("used")).join(F.broadcast(limits), "budget_id")
+    return per.groupBy("budget_id", "token_limit").agg(
+        F.sum("containers").alias("containers"), F.sum(F.ceil(F.col("used") / F.col("token_limit"))).alias("least"), (F.sum("used") / F.sum(F.col("containers") * F.col("token_limit"))).alias("fill")
+    )
+
+
+@query()
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    from litengine.llm import mixing as MX
+
+    return MX.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0]
+
+
+@query()
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The shares reached."""
+    from litengine.llm import mixing as MX
+
+    return MX.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))[1]
