@@ -42,7 +42,7 @@ MONTHS = "januar|februar|märz|april|mai|juni|juli|august|september|oktober|nove
 _OPEN, _CLOSE = "([{（「『“„«《【‹", ")]}）」』”»》】›"
 _EVENT = re.compile(
     r"(?P<line>[^\S\n]*(?:\r\n?|\n|\x0b|\x0c|\x85| | )\s*)"
-    r"|(?P<stop>[.!?…。！？．।॥؟۔]+(?:[)\]}）\"”’'»」』》*]|“(?=[\s,;:.)]|$)|[   ]»)*(?:\[\d+(?:[,–-] ?\d+)*\]|[¹²³⁰-⁹]+)*)"
+    r"|(?P<stop>[.!?…。！？．।॥؟۔]+(?:\"(?=[\s,;:.)\[\]—–-]|$)|[)\]}）”’'»」』》*]|“(?=[\s,;:.)]|$)|[   ]»)*(?:\[\d+(?:[,–-] ?\d+)*\]|[¹²³⁰-⁹]+)*)"
     r"|(?P<mark>[(\[{（「『“„«《【)\]}）」』”»》】\"])"
     r"|(?P<gap>(?<=[฀-๿0-9A-Za-z)])[^\S\n]+(?=[฀-๿])|(?<=[぀-ヿ㐀-鿿）」』”])[^\S\n]+(?=\S))"
 )
