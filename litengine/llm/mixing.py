@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from litengine.runtime import checkpoint
 
-BLOCKS, RANGES = 2_000, 256
+BLOCKS, RANGES = 2_000, 1_024
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 # Fixed value: how the tokenizer's texts are cut before pairs are merged.
@@ -115,7 +115,8 @@ def mix(docs: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, blocks:
     goals = [r.asDict() for r in wanted.collect()]  # a table of targets, a few rows a mixture
     names = sorted({g["source"] for g in goals if g["source"]})
     mine = docs.select("doc_id", same_name(F.col("source")).alias("source"), "text").filter(F.col("source").isin(names))
-    sized = checkpoint(places(token_counts(mine, ["doc_id", "source"], "text").filter("tokens > 0")))
+    counted = checkpoint(token_counts(mine, ["doc_id", "source"], "text").filter("tokens > 0"))  # read twice: never count a text twice
+    sized = checkpoint(places(counted))
     have = {r["source"]: r["n"] for r in sized.groupBy("source").agg(F.sum("tokens").alias("n")).collect()}
     plans = plan_sizes(goals, have)
 
