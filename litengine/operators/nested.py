@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -141,16 +141,29 @@ def _get(v: Column, path: str, kind: str = "variant") -> Column:
     return F.try_variant_get(v, path, kind)
 
 
+def _let(v: Column, f: Callable[[Column], Column]) -> Column:
+    """f(v) with v evaluated once."""
+    return F.get(F.transform(F.array(v), f), F.lit(0))
+
+
+def _as_array(v: Column) -> Column:
+    return _get(v, "$", "array<variant>")
+
+
+def _as_object(v: Column) -> Column:
+    return _get(v, "$", "map<string,variant>")
+
+
 def _decoded(v: Column, decode: bool) -> Column:
-    return F.coalesce(F.try_parse_json(_get(v, "$", "string")), v) if decode else v
+    """What a string holds; an object or a list is left as it is, not written out and read again."""
+    return _let(v, lambda x: F.when(_as_object(x).isNull() & _as_array(x).isNull(), F.try_parse_json(_get(x, "$", "string"))).otherwise(x)) if decode else v
 
 
 def _elements(v: Column, node: Node) -> Column:
     """The list at a table's path: as it is, out of its wrapper, or an object standing alone."""
     if node.wrapper:
-        v = F.coalesce(_get(v, _path(node.wrapper)), v)
-    alone = F.when(_get(v, "$", "map<string,variant>").isNotNull(), F.array(v))
-    return F.coalesce(_get(v, "$", "array<variant>"), alone, F.array().cast("array<variant>"))
+        v = _let(v, lambda x: F.coalesce(_get(x, _path(node.wrapper)), x))
+    return _let(v, lambda x: F.coalesce(_as_array(x), F.when(_as_object(x).isNotNull(), F.array(x)), F.array().cast("array<variant>")))
 
 
 def _rows(v: Column, node: Node, table: str, parent: Column, parent_pos: Column) -> Column:
@@ -162,7 +175,7 @@ def _rows(v: Column, node: Node, table: str, parent: Column, parent_pos: Column)
     def one(e: Column, i: Column) -> Column:
         key = F.concat(parent, F.lit(f"/{node.name}:"), i.cast("string"))
         row = F.struct(F.lit(table).alias("child"), key.alias("row_key"), parent.alias("parent_key"), parent_pos.alias("parent_pos"), i.alias("child_pos"), e.alias("node"))
-        filled = F.coalesce(F.cardinality(_get(e, "$", "map<string,variant>")) > 0, F.lit(False))
+        filled = F.coalesce(F.cardinality(_as_object(e)) > 0, F.lit(False))
         own = F.when(filled, F.array(row)).otherwise(F.array().cast(ROWS))
         return F.concat(own, _below(e, node, table, key, i)) if node.children else own
 
@@ -182,10 +195,11 @@ def explode_children(df: DataFrame, key: str, payload: str, root: Node) -> DataF
 
     row_key is made of the record's key and the ordinals on the way down, so it is the same in every run.
     """
-    v = F.try_parse_json(F.col(payload).cast("string"))
-    v = F.coalesce(F.try_parse_json(_get(v, "$", "string")), v)
+    text = F.col(payload).cast("string")
+    v = F.try_parse_json(text)
+    v = F.when(F.startswith(F.ltrim(text), F.lit('"')), F.try_parse_json(_get(v, "$", "string"))).otherwise(v)
     # a record delivered as a list is a list of records; each is a parent of its own
-    records = F.coalesce(_get(F.col("__v"), "$", "array<variant>"), F.array(F.col("__v")))
+    records = F.coalesce(_as_array(F.col("__v")), F.array(F.col("__v")))
     base = df.select(F.col(key).alias("__key"), v.alias("__v")).filter(F.col("__v").isNotNull())
     base = base.select("__key", F.posexplode(records).alias("__i", "__r"))
     top = Node("$", children=root.children)
