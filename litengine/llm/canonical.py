@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from litengine.runtime import checkpoint
+
 #: Copies of the answer to each value, so that one value holding a third of all entries is spread over as many tasks.
 SALTS = 16
 #: Least soft TF-IDF score of a match. One edit in a three-letter token scores 0.67.
@@ -63,7 +65,7 @@ def unroman(c: Column) -> Column:
     out = F.lit(None).cast("string")
     for i, r in enumerate(ROMAN, 1):
         out = F.when(c.rlike(rf"(?i)[-_ ]{r}[a-z]?$"), F.regexp_replace(c, rf"(?i)[-_ ]{r}([a-z]?)$", f"{i}$1")).otherwise(out)
-    return out
+    return F.when(c.rlike("(?i)[-_ ][ivx]+[a-z]?$"), out)
 
 
 def ungreek(c: Column) -> Column:
@@ -72,7 +74,7 @@ def ungreek(c: Column) -> Column:
     for name, sign, letter in GREEK:
         tail = rf"(?i)(?:(?<=[0-9])|[-_ ])(?:{name}|{sign})$"
         out = F.when(c.rlike(tail), F.regexp_replace(c, tail, letter)).otherwise(out)
-    return out
+    return F.when(c.rlike("(?i)(?:alpha|beta|gamma|delta|[\u03b1-\u03b4])$"), out)
 
 
 def joined(c: Column) -> Column:
@@ -112,12 +114,11 @@ def vocabulary(terms: DataFrame, term_id: str, single: list[str], many: list[str
     return names.filter((F.size("tokens") > 0) & ~F.exists("tokens", lambda t: F.coalesce(t, F.lit("")) == "")).distinct()
 
 
-def weighted(names: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Vocabulary tokens with their idf, and the names with a weight for each token."""
+def weighted(names: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """Vocabulary tokens with their idf, and the names with a weight for each token. n: how many names there are."""
     exploded = names.select("term_id", "rank", "tokens", F.explode("tokens").alias("vt"))
-    n = names.agg(F.count(F.lit(1)).alias("n"))
-    df = exploded.groupBy("vt").agg(F.count(F.lit(1)).alias("df")).withColumn("k", F.lit(0)).join(n.withColumn("k", F.lit(0)), "k")
-    idf = df.select("vt", "df", F.log(1 + F.col("n") / F.col("df")).alias("idf"))
+    df = exploded.groupBy("vt").agg(F.count(F.lit(1)).alias("df"))
+    idf = df.select("vt", "df", F.log(1 + F.lit(n) / F.col("df")).alias("idf"))
     with_idf = exploded.join(idf, "vt").groupBy("term_id", "rank", "tokens").agg(F.map_from_entries(F.collect_set(F.struct("vt", "idf"))).alias("w"))
     return idf, with_idf
 
@@ -145,10 +146,11 @@ def views(values: DataFrame, longest: int, most_words: int) -> DataFrame:
 
 def match_values(values: DataFrame, names: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
     """(value, term_id, score) for the distinct values that name a term. names: see vocabulary()."""
-    idf, with_idf = weighted(names)
-    longest, most_words = names.agg(F.coalesce(F.max(F.length(F.array_join("tokens", " "))), F.lit(0)), F.coalesce(F.max(F.size("tokens")), F.lit(0))).first()
+    longest, most_words, n = names.agg(F.coalesce(F.max(F.length(F.array_join("tokens", " "))), F.lit(0)), F.coalesce(F.max(F.size("tokens")), F.lit(0)), F.count(F.lit(1))).first()
+    names = checkpoint(names)  # a small table that the plan reads in several places
+    idf, with_idf = weighted(names, n)
     v = views(values, longest, most_words)
-    tokens = v.select("value", "view", F.size("tokens").alias("n"), F.posexplode("tokens").alias("at", "token"))
+    tokens = checkpoint(v.select("value", "view", F.size("tokens").alias("n"), F.posexplode("tokens").alias("at", "token")))  # read twice
     fixed = repair(tokens.filter(F.length("token") <= longest + 1).select("token").distinct(), idf)
     by_view = tokens.join(fixed, "token").groupBy("value", "view", "n").agg(F.collect_list(F.struct("at", "token", "vt", "sim", "df")).alias("c"))
     # all tokens of the view have a correction; the rarest one leads to the names
