@@ -46,7 +46,7 @@ def curated_mentions(flat: DataFrame, levels: tuple[str, ...], normalize_hgvs: b
 def unwrapped(payload: Column) -> Column:
     """JSON text to a variant record: a record written as a string, or as a list, is taken out of it; null where it can't be read."""
     v = F.try_parse_json(payload)
-    inner = F.try_parse_json(F.try_variant_get(v, "$", "string"))
+    inner = F.when(F.startswith(F.ltrim(payload), F.lit('"')), F.try_parse_json(F.try_variant_get(v, "$", "string"))).otherwise(v)
     return F.coalesce(F.try_variant_get(inner, "$[0]", "variant"), inner)
 
 
@@ -74,7 +74,8 @@ def strings(v: Column, path: str) -> Column:
 def classification(v: Column) -> Column:
     """The germline classification of either generation of keys; one that was written as a string is read."""
     node = F.coalesce(F.try_variant_get(v, "$.germline_classification", "variant"), F.try_variant_get(v, "$.clinical_significance", "variant"))
-    return F.try_parse_json(F.try_variant_get(node, "$", "string"))
+    is_object = F.try_variant_get(node, "$", "map<string,variant>").isNotNull()
+    return F.when(is_object, node).otherwise(F.try_parse_json(F.try_variant_get(node, "$", "string")))
 
 
 def parse_nested(raw: DataFrame) -> DataFrame:

@@ -405,7 +405,7 @@ _VERDICT_JSON = "to_json(struct_pack(confirmed := confirmed, uncertain := uncert
 
 
 def _verdict_text(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "verdicts").select("run_id", "chunk_no", F.to_json(F.struct(*VA.CLASSES, "notes")).alias("text"))
+    return table(spark, d, "verdicts").select("run_id", "chunk_no", F.to_json(F.struct(*VA.CLASSES, "notes"), {"ignoreNullFields": "false"}).alias("text"))
 
 
 @query(" UNION ALL ".join(f"SELECT run_id, chunk_no, '{c}' AS class, unnest({c}) AS name FROM verdicts" for c in VA.CLASSES))
@@ -419,7 +419,7 @@ def verdict_sizes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "verdicts").select("run_id", "chunk_no", *(F.coalesce(F.array_size(c), F.lit(0)).cast("long").alias(f"n_{c}") for c in VA.CLASSES))
 
 
-@query()
+@query(f"SELECT run_id, chunk_no, CAST({_VERDICT_JSON} AS VARCHAR) AS text FROM verdicts")
 def verdict_to_json(spark: SparkSession, d: str) -> DataFrame:
     return _verdict_text(spark, d)
 
