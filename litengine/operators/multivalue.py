@@ -61,6 +61,7 @@ class Cell:
 
     def __init__(self, s: str, grammar: Grammar) -> None:
         self.s, self.n, self.g = s, len(s), grammar
+        self.last_close: dict[str, int] = {}
 
     def blanks(self, i: int) -> int:
         while i < self.n and self.s[i] in BLANK:
@@ -80,6 +81,10 @@ class Cell:
         q = self.s[i]
         if q not in "\"'":
             return None
+        if q not in self.last_close:  # the last place where this quote could end a value; beyond it nothing is sought again
+            self.last_close[q] = next((k for k in range(self.n - 1, -1, -1) if self.s[k] == q and self.ends(k + 1)), -1)
+        if self.last_close[q] <= i:
+            return None
         out, j = [], i + 1
         while j < self.n:
             c = self.s[j]
@@ -194,7 +199,7 @@ class Cell:
             return []
         got = self.json_list()
         got = self.slots() if got is None else got
-        return [(p, v, f) for p, (v, f) in enumerate(got, 1) if v is not None and v != "" and v != self.g.placeholder]
+        return [(p, v, f) for p, (v, f) in enumerate(got, 1) if v is not None and v.strip() and v != self.g.placeholder]
 
 
 def split_cells(df: DataFrame, keys: list[str], grammars: dict[str, Grammar]) -> DataFrame:

@@ -166,10 +166,10 @@ def id_resolution_left_join(spark: SparkSession, d: str) -> DataFrame:
     return LI.resolve_ids(_articles(spark, d).select("pmid").distinct(), table(spark, d, "id_links"))
 
 
-@query(f"WITH {_LINKS}, {_PMIDS}, ft AS (SELECT pmcid, min(pmc_xml) AS pmc_xml FROM articles WHERE {_USABLE} GROUP BY 1) SELECT p.pmid, links.pmcid, CAST(length(ft.pmc_xml) AS BIGINT) AS xml_chars FROM p LEFT JOIN links USING (pmid) LEFT JOIN ft ON ft.pmcid = links.pmcid")
+@query(f"WITH {_LINKS}, {_PMIDS}, ft AS (SELECT pmcid, min(pmc_xml) AS pmc_xml FROM articles WHERE {_USABLE} GROUP BY 1) SELECT p.pmid, links.pmcid, CAST(coalesce(length(ft.pmc_xml), 0) AS BIGINT) AS xml_chars FROM p LEFT JOIN links USING (pmid) LEFT JOIN ft ON ft.pmcid = links.pmcid")
 def full_text_attach(spark: SparkSession, d: str) -> DataFrame:
     arts = LI.resolve_ids(_articles(spark, d).select("pmid").distinct(), table(spark, d, "id_links"))
-    return LI.attach_full_text(arts, _articles(spark, d).select("pmcid", "pmc_xml")).select("pmid", "pmcid", F.length("pmc_xml").cast("long").alias("xml_chars"))
+    return LI.attach_full_text(arts, _articles(spark, d).select("pmcid", "pmc_xml")).select("pmid", "pmcid", F.coalesce(F.length("pmc_xml"), F.lit(0)).cast("long").alias("xml_chars"))
 
 
 @query(f"SELECT count(*) AS n, count(*) FILTER ({_USABLE}) AS n_full, count(pmcid) AS n_linked FROM articles")

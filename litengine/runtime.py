@@ -28,7 +28,11 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, least: int | None = None) -> DataFrame:
-    """Rows dealt evenly over at least as many tasks as the session has cores: a small file is one split, however dear its rows are."""
-    n = max(least or 0, df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(n)
+def parallelism(spark: SparkSession) -> int:
+    """Tasks for work that is dear for its size: as many as the session has cores, or more where it shuffles into more."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over parallelism() tasks: a small file is one split, and small shuffles are merged, however dear their rows are."""
+    return df.repartition(parallelism(df.sparkSession))

@@ -1,6 +1,7 @@
 import glob
 import os
 
+import pandas as pd
 import pytest
 
 from litengine.plans import queries as Q
@@ -17,7 +18,7 @@ def duck(sf):
 
 def table(pdf):
     pdf = pdf[sorted(pdf.columns)]
-    cells = [[None if x is None or x != x else round(x, 6) if isinstance(x, float) else x for x in pdf[c]] for c in pdf.columns]
+    cells = [[None if pd.isna(x) else round(float(x), 6) if isinstance(x, float) else x for x in pdf[c]] for c in pdf.columns]
     return sorted(zip(*(map(str, c) for c in cells), strict=True))
 
 
