@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from litengine.runtime import parallelism
+
 MAX_PATTERNS = 240
 MOST_FOR_PAIRS = 24  # of the distinct lengths, those that pairs are formed of; longer lists are thinned evenly
 LEAST_FILL = 0.85
@@ -198,7 +200,8 @@ def pack(items: DataFrame, group: list[str], capacity: str, place: list[str]) ->
                     out["ranges"].append(rs)
             yield pd.DataFrame(out).astype({"cost": "int32"})
 
-    described = hist.repartition(*group).mapInPandas(run, schema)
+    # little data and much work: a number of tasks that adaptive execution leaves as it is
+    described = hist.repartition(parallelism(items.sparkSession), *group).mapInPandas(run, schema)
     # rank of an item among those of its length: the items of earlier blocks, then its place within its block
     offset = F.coalesce(F.sum("__n").over(W.partitionBy(*group, "cost").orderBy("__b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     starts = blocks.withColumn("__from", offset).select(*group, "cost", "__b", "__from").join(described, [*group, "cost"])

@@ -13,7 +13,7 @@ from litengine.llm import linkage as LK
 from litengine.llm.common import entries, runs_once
 from litengine.operators import assertions as AS
 from litengine.plans.queries import split_packed
-from litengine.runtime import table
+from litengine.runtime import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,7 +122,7 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     from litengine.llm import sentences as SE
 
     arts = table(spark, d, "articles").filter("pmid is not null and abstract is not null").select("pmid", "abstract")
-    return SE.sentences(arts.groupBy("pmid").agg(F.max("abstract").alias("abstract")), "pmid", "abstract")
+    return SE.sentences(spread(arts.groupBy("pmid").agg(F.max("abstract").alias("abstract"))), "pmid", "abstract")
 
 
 def packable(spark: SparkSession, d: str) -> DataFrame:
