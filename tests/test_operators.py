@@ -115,7 +115,7 @@ def flaky(query, chunk):
 
 
 def test_pipeline_and_report(spark, tmp_path):
-    arts = spark.createDataFrame([("1", "t", "BRCA2 carries c.1A>G", None, None)], "pmid string, title string, abstract string, pmcid string, pmc_xml string")
+    arts = spark.createDataFrame([("1", "t", "BRCA2 and rs123 here", None, None)], "pmid string, title string, abstract string, pmcid string, pmc_xml string")
     recs = spark.createDataFrame([("7", "BRCA2, TP53", "NM_1.1(BRCA2):c.1A>G", "Pathogenic")], "uid string, genes string, variation_name string, clinical_significance string")
     cfg = MiningConfig(disease_term="d")
     mined = PL.mine(arts, recs, cfg)
