@@ -11,6 +11,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^\s+|\s+$", "")
 
 
+def name_key(c: Column) -> Column:
+    """What a name has in common with itself written in another case, with other blanks or punctuation; null if it has no letter or digit."""
+    return F.nullif(F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{M}\p{N}]+", " ")), F.lit(""))
+
+
 def split_list(c: Column) -> Column:
     """Comma-separated cell to an array of stripped parts; null stays null."""
     return F.transform(F.split(c, ","), strip)

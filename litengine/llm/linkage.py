@@ -4,6 +4,7 @@
    in one canonical form) and what is left, among it the gene, which is resolved through the canonical names.
 2. Candidate pairs come from equi-joins on (gene, kind, change), or, where a description names no gene, on (kind, change, trait):
    descriptions are made distinct first, so an often repeated one joins once. No pair without a shared change is ever made.
+   Traits are compared without case, blanks and punctuation: a run's disease is typed by hand.
 3. Loopy belief propagation over the pairs. Factors: an entry speaks of at most one record; within a group (a run) and a kind of
    notation, a record is spoken of by at most one description. Messages are odds, exchanged through aggregates per entry and per
    record until they settle; the marginal is the pair's confidence. Pairs that compete with no other are settled at once.
@@ -22,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from litengine.functions.text import name_key
 from litengine.llm.canonical import SALTS, folded, joined
 from litengine.runtime import checkpoint
 
@@ -141,7 +143,7 @@ def match(entries: DataFrame, records: DataFrame, names: DataFrame, transcripts:
 
     entries: (run_id, pos, value, trait); records: (uid, gene_hint, traits array, kinds array<struct<kind, change>>, gene, transcript).
     """
-    said = entries.filter(F.col("value").isNotNull() & (F.trim("value") != "")).withColumn("t", F.coalesce("trait", F.lit("")))
+    said = entries.filter(F.col("value").isNotNull() & (F.trim("value") != "")).withColumn("trait", name_key(F.col("trait"))).withColumn("t", F.coalesce("trait", F.lit("")))
     texts = said.select("value").distinct()
     read = resolve_gene(read_description(texts, "value"), ["value"], names, transcripts)
     read = read.filter(F.col("cdna").isNotNull() | F.col("protein").isNotNull())
@@ -150,6 +152,7 @@ def match(entries: DataFrame, records: DataFrame, names: DataFrame, transcripts:
     read = read.select("value", "gene", "transcript", kind.alias("kind"), F.coalesce("cdna", "protein").alias("change"), (F.col("gene").isNull() & ((F.size("words") > 0) | F.col("transcript").isNotNull())).alias("foreign")).filter("not foreign")
     read = checkpoint(read)  # both this and the records are asked twice below
 
+    records = records.withColumn("traits", F.filter(F.array_distinct(F.transform("traits", name_key)), lambda x: x.isNotNull()))
     known = records.select("uid", "gene", "transcript", "traits", F.explode("kinds").alias("k")).select("uid", "gene", F.col("transcript").alias("rtx"), "traits", F.col("k.kind").alias("rkind"), F.col("k.change").alias("change"), F.when(F.col("k.kind") == "c", "c").otherwise("p").alias("kind"))
     known = known.groupBy("uid", "gene", "kind", "change").agg(F.min("rkind").alias("rkind"), F.first("rtx").alias("rtx"), F.first("traits").alias("traits"))
     known = checkpoint(known)

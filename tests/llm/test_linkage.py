@@ -55,3 +55,20 @@ def test_match(spark):
     assert {k[1]: v for k, v in got.items()} == {0: "u1", 1: "u1", 2: "u1", 4: "u3", 10: "u3", 12: "u1"}
     assert match(spark, entries[:0], RECORDS) == {}
     assert match(spark, entries, RECORDS[:0]) == {}
+
+
+@pytest.mark.parametrize("disease", ["VELK'S DISEASE, TYPE 3", "Velk's disease, type 3 ", "Velk's disease type 3", " velk\u2019s  disease, Type 3", "Velk's disease, type 3"])
+def test_a_disease_typed_with_a_slip_is_the_same_trait(spark, disease):
+    """An entry without a gene leans on the run's disease alone; one trait written in two ways is one."""
+    records = [("u1", 1, None, ["Velk's disease, type 3", "VELK'S DISEASE TYPE 3"], [("c", "5A>G")]), ("u2", 2, None, ["Velk's disease, type 2"], [("c", "5A>G")]), ("u3", 2, None, ["--", None], [("c", "8C>T")])]
+    got = match(spark, [(1, 0, "c.5A>G", disease), (1, 1, "c.5A>T", disease), (2, 0, "c.8C>T", "-"), (3, 0, "c.8C>T", None)], records)
+    assert got == {(1, 0): "u1"}
+
+
+def test_a_disease_typed_with_a_slip_strengthens_a_match(spark):
+    names = spark.createDataFrame([("gena1", 1)], "name string, gene long")
+    tx = spark.createDataFrame([], "transcript string, gene long")
+    e = spark.createDataFrame([(1, 0, "GENA1 K1R", "Velk's disease, type 3"), (2, 0, "GENA1 K1R", "VELK'S DISEASE TYPE 3 "), (3, 0, "GENA1 K1R", "other")], "run_id long, pos int, value string, trait string")
+    r = spark.createDataFrame([("u1", 1, None, ["Velk's disease, type 3"], [("q", "K1R")])], "uid string, gene long, transcript string, traits array<string>, kinds array<struct<kind:string,change:string>>")
+    got = {x["run_id"]: x["confidence"] for x in LK.match(e, r, names, tx).collect()}
+    assert got[1] == got[2] > got[3]
