@@ -95,9 +95,10 @@ def entity_crosslink(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def entity_crosslink_by_query(spark: SparkSession, d: str) -> DataFrame:
-    """All runs in one job: the literature by query_id, the curated records by the run's disease among their traits."""
-    runs = table(spark, d, "candidates").select("query_id", F.col("summary.disease_query").alias("disease")).filter(F.col("query_id").isNotNull()).distinct()
-    traits = split_packed(spark, d, ("trait_names",), _flat(spark, d)).select("uid", F.col("item").alias("disease")).distinct()
+    """All runs in one job: the literature by query_id, the curated records by the run's disease among their traits, however it is typed."""
+    disease = TX.name_key(F.col("summary.disease_query"))
+    runs = table(spark, d, "candidates").select("query_id", disease.alias("disease")).filter(F.col("query_id").isNotNull()).distinct()
+    traits = split_packed(spark, d, ("trait_names",), _flat(spark, d)).select("uid", TX.name_key(F.col("item")).alias("disease")).distinct()
     curated = runs.join(traits, "disease").join(_flat(spark, d), "uid")
     lit = LI.mentions(_articles(spark, d).filter(F.col("query_id").isNotNull()), keep=("query_id",))
     both = lit.unionByName(AS.curated_mentions(curated, LEVELS, keep=("query_id",)))

@@ -41,3 +41,21 @@ def test_llm_is_optional():
         if "/llm/" not in path:
             with open(path, encoding="utf-8") as f:
                 assert "litengine.llm" not in f.read(), path
+
+
+@pytest.mark.parametrize("slip", [str.upper, lambda x: x.lower() + " ", lambda x: x.replace(",", "")])
+def test_crosslink_finds_a_disease_typed_with_a_slip(spark, sf, tmp_path, slip):
+    traits = [t for t in pd.read_parquet(f"{sf}/trait_terms.parquet")["trait_name"].dropna() if "," in t]
+    packed = "|".join(pd.read_parquet(f"{sf}/assertions_flat.parquet")["trait_names"].dropna())
+    trait = max(traits, key=packed.count)
+    found = []
+    for disease in (trait, slip(trait)):
+        d = tmp_path / str(len(found))
+        d.mkdir()
+        for name in ("articles", "assertions_flat", "trait_terms"):
+            os.symlink(f"{sf}/{name}.parquet", d / f"{name}.parquet")
+        rows = [("q", (disease,))]
+        spark.createDataFrame(rows, "query_id string, summary struct<disease_query:string>").write.parquet(str(d / "candidates.parquet"))
+        found.append(Q.entity_crosslink_by_query(spark, str(d)).filter("query_id = 'q'").toPandas())
+    assert found[0]["bucket"].str.contains("only_clinvar").any()
+    assert table(found[1]) == table(found[0])
