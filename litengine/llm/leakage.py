@@ -11,7 +11,8 @@ One pass over the corpus without a shuffle; whole texts. Words that are in no it
 looked for with one vectorised test a document, so the automaton sees only what can match.
 
 Defined cases: null and empty texts and items give no rows; an item of fewer than LEAST words can't leak; copies of a document are
-each reported; repeated items are reported under each id.
+each reported; repeated items are reported under each id; an item with fewer than
+SPECIFIC figures and genes must show all it has, one with none is judged by COVERAGE alone.
 """
 
 from __future__ import annotations
@@ -204,7 +205,8 @@ class Finder:
         for i, (d, p, n) in enumerate(ms):
             covered[p : p + n] = True
             best = None
-            for d2, p2, n2 in ms[i + 1 : i + 40]:  # sorted by place in the document: the nearest that goes on in the item
+            for j in range(i + 1, len(ms)):  # sorted by place in the document: the nearest that goes on in the item
+                d2, p2, n2 = ms[j]
                 if d2 - (d + n) > self.gap:
                     break
                 if d2 + n2 > d + n and p2 + n2 > p + n and 0 <= p2 - (p + n) <= self.gap and d2 >= d + n:
@@ -221,7 +223,7 @@ class Finder:
         # the words next to a match may be changed in their turn; figures and genes show whether the item is meant
         agree = int(np.count_nonzero(covered & np.array(spec)))
         share = float(covered.mean())
-        return share if share >= self.coverage and agree >= min(self.specific, max(1, sum(spec))) and differ <= agree / 2 else 0.0
+        return share if share >= self.coverage and agree >= min(self.specific, sum(spec)) and differ <= agree / 2 else 0.0
 
 
 def leaks(docs: DataFrame, items: list[tuple[int, str]], doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -75,6 +75,22 @@ def test_leaks_in_spark(spark):
     assert LE.leaks(df, []).count() == 0
 
 
+def test_an_item_without_figures_or_genes_leaks_by_coverage():
+    plain = "the freezer diary said that every spring intake was checked twice by the night shift before any of it went to the cold room"
+    f = LE.Finder([(1, plain)])
+    assert [i for i, _ in f.find(AROUND + plain + ". " + AROUND)] == [1]
+    assert f.find(AROUND + plain[:30] + ". " + AROUND) == []
+
+
+def test_the_match_that_goes_on_may_stand_behind_many_others():
+    """50 matches at one place of the document, none of which goes on in the item, before the one that does."""
+    f = LE.Finder([(1, "alpha beta gamma delta " + "one two three " * 60)], coverage=0.0)
+    doc = "alpha beta gamma zeta one two three".split()
+    covered = [f._share(0, [(0, 0, 3), *others, (5, 4, 2)], doc, doc) for others in ([], [(4, 20 + i, 1) for i in range(50)])]
+    assert covered[0] == pytest.approx(6 / 184)  # the changed word counts too
+    assert covered[1] == pytest.approx(56 / 184)
+
+
 EASY = ["We can play with the cat at the park.", "He likes to read a red book.", "I can not run with the dog."]
 HARD = ["Constitutive oligomerisation of the homodimer antagonises compensatory transcriptional repression.", "Haploinsufficiency necessitates comprehensive immunophenotyping of the parenchyma.", "Epistatic modification recapitulates mitochondrial bioenergetics in the subpopulations."]
 
