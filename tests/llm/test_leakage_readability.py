@@ -133,3 +133,10 @@ def test_bands_in_spark(spark, model):
     assert RD.bands(docs, None).count() == 0
     labels = spark.createDataFrame([(1, "r", 1), (1, "s", 2), (1, "t", 9), (None, "r", 1), (77, "r", 1)], "doc_id long, rater string, band int")
     assert [v for _, v in RD.labelled_texts(docs, labels)] == [{1: 1, 2: 1}]
+
+
+@pytest.mark.parametrize(("text", "lower"), [("Abcdef Ghijkl Mnopqr Stuvwx", False), ("aBCDEFGhIJKLMNoPQRSTUvWXYZ", True), ("\u00c4bcdef \u00d6hijkl \u00c4nopqr", False), ("123 \u2014", False), ("ABC", True), ("", False)])
+def test_capitals_are_counted_over_the_whole_text(text, lower):
+    """Every seventh character alone says the opposite of the first three."""
+    assert RD.mostly_capitals(text) == lower
+    assert RD.raw_tokens(text) == (text.lower() if lower else text).split()
