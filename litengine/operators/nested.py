@@ -9,7 +9,7 @@
 
 Defined cases: a null or unreadable payload gives no rows; null elements and elements that are no objects, or empty ones, give
 no row but keep their ordinal; an object where a list is usual counts as the list's only element; an empty table gives an empty
-table; other columns of the input are ignored, so their names may clash with ours.
+table; a merged schema beyond MAX_KEYS is an error; other columns of the input are ignored, so their names may clash with ours.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Keys of the merged schema that one object may have; a record with more is a dictionary with data in its keys and is no table.
+#: Rows (path, kind) the merged schema may have; more come of dictionaries with data in their keys, and are an error: no part is left out.
 MAX_KEYS = 10_000
 
 
@@ -77,7 +77,9 @@ def infer_shapes(df: DataFrame, payload: str) -> dict[str, dict[str, int]]:
             keys = list(seen)
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in keys]), pa.array([k for _, k in keys]), pa.array([seen[k] for k in keys], pa.int64())], ["path", "kind", "n"])
 
-    rows = df.select(F.col(payload).cast("string").alias("p")).mapInArrow(count, "path string, kind string, n long").groupBy("path", "kind").agg(F.sum("n").alias("n")).limit(MAX_KEYS).collect()
+    rows = df.select(F.col(payload).cast("string").alias("p")).mapInArrow(count, "path string, kind string, n long").groupBy("path", "kind").agg(F.sum("n").alias("n")).limit(MAX_KEYS + 1).collect()
+    if len(rows) > MAX_KEYS:
+        raise ValueError(f"the merged schema of {payload} has more than {MAX_KEYS} paths and kinds: a payload has data in its keys")
     out: dict[str, dict[str, int]] = {}
     for r in rows:
         out.setdefault(r["path"], {})[r["kind"]] = r["n"]

@@ -114,3 +114,14 @@ def test_split_cells(spark):
     df = spark.createDataFrame([("u", "a|b", None, 1), (None, "c", "", 2)], "uid string, aliases string, other string, item int")
     got = {tuple(r) for r in MV.split_cells(df, ["uid"], {"aliases": G, "other": G}).collect()}
     assert got == {("u", "aliases", 1, "a", None), ("u", "aliases", 2, "b", None), (None, "aliases", 1, "c", None)}
+
+
+def test_a_schema_that_is_too_large_is_an_error(spark, monkeypatch):
+    """It is never cut: which child tables there are would differ from run to run."""
+    df = spark.createDataFrame([(1, '{"genes":[{"symbol":"A"}],"by_id":{"a1":1,"a2":2,"a3":3}}')], "id long, payload string")
+    n = sum(map(len, NE.infer_shapes(df, "payload").values()))
+    monkeypatch.setattr(NE, "MAX_KEYS", n)
+    assert sum(map(len, NE.infer_shapes(df, "payload").values())) == n
+    monkeypatch.setattr(NE, "MAX_KEYS", n - 1)
+    with pytest.raises(ValueError, match="data in its keys"):
+        NE.infer_shapes(df, "payload")
