@@ -512,14 +512,24 @@ ALIAS_FORMS = (r"EX\d+DEL, \d+(?:\.\d+)?-KB", r"[A-Z0-9-]{2,12}, [A-Z]{3}\d+(?:[
 PACKED = ("aliases", "trait_ids", "gene_ids", "trait_names")
 
 
+#: Trait names the grammar takes from the canonical list; a longer list is an error, no name is left out.
+MAX_NAMES = 100_000
+
+
+def trait_grammar(spark: SparkSession, d: str) -> MV.Grammar:
+    """Names with dividers in them are known from the canonical list, whose size is checked before it is collected."""
+    names = table(spark, d, "trait_terms").select("trait_name").filter(F.col("trait_name").rlike(MV.DIVIDER.pattern)).distinct().limit(MAX_NAMES + 1).collect()
+    if len(names) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} trait names hold dividers")
+    return MV.Grammar(vocabulary=tuple(r[0] for r in names))
+
+
 def split_packed(spark: SparkSession, d: str, fields: tuple[str, ...] = PACKED, flat: DataFrame | None = None) -> DataFrame:
-    """trait_terms has a fixed 302 rows; its names are part of the grammar."""
-    terms = [r[0] for r in table(spark, d, "trait_terms").select("trait_name").limit(10_000).collect()]
-    grammars = {"aliases": MV.Grammar(forms=ALIAS_FORMS), "trait_ids": MV.Grammar(), "gene_ids": MV.Grammar(), "trait_names": MV.Grammar(vocabulary=tuple(t for t in terms if t))}
+    """One row a value of the packed columns of each assertion."""
+    grammars = {"aliases": lambda: MV.Grammar(forms=ALIAS_FORMS), "trait_names": lambda: trait_grammar(spark, d)}
     if flat is None:  # a repeated delivery is the same but for loaded_at
-        flat = table(spark, d, "assertions_flat").select("uid", *fields, "loaded_at")
-        flat = AS.latest(flat)
-    return MV.split_cells(flat, ["uid"], {f: grammars[f] for f in fields})
+        flat = AS.latest(table(spark, d, "assertions_flat").select("uid", *fields, "loaded_at"))
+    return MV.split_cells(flat, ["uid"], {f: grammars.get(f, MV.Grammar)() for f in fields})
 
 
 @query()
