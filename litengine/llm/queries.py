@@ -11,8 +11,7 @@ from litengine.llm import canonical as CA
 from litengine.llm import frequency as FR
 from litengine.llm import linkage as LK
 from litengine.llm.common import entries, runs_once
-from litengine.operators import assertions as AS
-from litengine.plans.queries import split_packed
+from litengine.plans.queries import trait_grammar
 from litengine.runtime import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,42 +62,27 @@ def p6_all_values(spark: SparkSession, d: str) -> DataFrame:
     return value_frequencies(spark, d)
 
 
-def variant_records(spark: SparkSession, d: str, names: DataFrame, transcripts: DataFrame) -> DataFrame:
-    """The curated side of problem 5, each uid once."""
-    flat = AS.latest(table(spark, d, "assertions_flat").select("uid", "variation_name", "cdna_change", "protein_change", "genes", "trait_names", "loaded_at")).drop("loaded_at")
-    named = LK.read_description(flat.withColumn("d", F.coalesce("variation_name", F.lit(""))), "d").drop("d")
-    # a record without a gene in its name has that of the first gene listed
-    first = F.array(F.regexp_replace(F.get(F.split("genes", ","), F.lit(0)), r"^\s+|\s+$", ""))
-    words = F.filter(F.concat("words", F.coalesce(first, F.array().cast("array<string>"))), lambda w: w.isNotNull())
-    named = LK.resolve_gene(named.withColumn("words", words), ["uid"], names, transcripts)
-    cdna = LK.read_description(named.select("uid", F.coalesce("cdna_change", F.lit("")).alias("x")), "x").select("uid", F.col("cdna").alias("cdna2"))
-    isoforms = named.select("uid", F.explode(F.split("protein_change", ",")).alias("x"))
-    isoforms = LK.read_description(isoforms, "x").filter("protein is not null").groupBy("uid").agg(F.collect_set("protein").alias("others"))
-    traits = split_packed(spark, d, ("trait_names",), flat.select("uid", "trait_names")).groupBy("uid").agg(F.collect_set("item").alias("traits"))
-    out = named.join(cdna, "uid", "left").join(isoforms, "uid", "left").join(traits, "uid", "left")
-    empty = F.array().cast("array<string>")
-    kinds = F.array_distinct(F.concat(LK.changes(F.col("cdna"), F.col("protein"), F.coalesce("others", empty)), LK.changes(F.col("cdna2"), F.lit(None).cast("string"))))
-    return out.select("uid", "gene", "transcript", F.coalesce("traits", empty).alias("traits"), kinds.alias("kinds"))
-
-
-@query()
-def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return variant_matches(spark, d).select("run_id", "pos", "uid")
-
-
-def variant_matches(spark: SparkSession, d: str) -> DataFrame:
+def variant_beliefs(spark: SparkSession, d: str, only_matches: bool = True) -> DataFrame:
     vocabulary = gene_names(spark, d).filter(F.size("tokens") == 1)
     names = vocabulary.groupBy(F.get("tokens", F.lit(0)).alias("name")).agg(F.min("term_id").alias("gene"))
     transcripts = table(spark, d, "gene_terms").select(F.regexp_replace("transcript", r"\.\d+$", "").alias("transcript"), F.col("term_id").alias("gene")).filter("transcript is not null").groupBy("transcript").agg(F.min("gene").alias("gene"))
+    # deliveries of a record differ in loaded_at alone
+    flat = table(spark, d, "assertions_flat").select("uid", "variation_name", "cdna_change", "protein_change", "genes", "trait_names").filter("uid is not null").distinct()
+    records = LK.resolve_gene(LK.read_records(spread(flat), trait_grammar(spark, d)), ["uid"], names, transcripts)
     runs = runs_once(spark, d, "variants_only_text", "summary")
     said = runs.select("run_id", F.col("summary.disease_query").alias("trait"), F.posexplode("variants_only_text").alias("pos", "value"))
-    return LK.match(said, variant_records(spark, d, names, transcripts), names, transcripts)
+    return (LK.match if only_matches else LK.beliefs)(said, records, names, transcripts)
+
+
+@query()
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return variant_beliefs(spark, d).select("run_id", "pos", "uid")
 
 
 @query()
 def p5_confidence(spark: SparkSession, d: str) -> DataFrame:
-    """The matches with their marginal probabilities."""
-    return variant_matches(spark, d)
+    """Every entry that has a candidate, with its likeliest record, the marginal probability, and whether the exact check holds."""
+    return variant_beliefs(spark, d, only_matches=False)
 
 
 @query()
