@@ -122,6 +122,7 @@ def read_records(df: DataFrame, grammar: Grammar) -> DataFrame:
 
 def resolve_gene(df: DataFrame, keys: list[str], names: DataFrame, transcripts: DataFrame) -> DataFrame:
     """Adds gene: that of the first word that names one, else the transcript's; null if none. names: (name, gene), transcripts: (transcript, gene)."""
+    df = checkpoint(df)  # asked for its words, then for the rest: what was read in Python is not read twice
     said = F.transform("words", lambda w: joined(folded(w)))
     said = F.concat(F.coalesce(said, F.array().cast("array<string>")), F.array(F.concat(F.lit("transcript:"), F.col("transcript"))))
     known = names.select("name", "gene").unionByName(transcripts.select(F.concat(F.lit("transcript:"), F.col("transcript")).alias("name"), "gene"))
