@@ -51,8 +51,9 @@ def is_retriable(message: Column) -> Column:
     return F.coalesce(hit, F.lit(False))
 
 
-def truthy(c: Column) -> Column:
-    return F.coalesce(F.lower(F.trim(c)).isin("true", "1", "yes", "on"), F.lit(False))
+def shortened(text: str, n: int = 100) -> str:
+    """The start of a long text, for logs only."""
+    return text if len(text) <= n else text[:n]
 
 
 # --- XML held as text ---------------------------------------------------------------------------

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from litengine.functions import text as TX
 from litengine.functions import variants as V
 
+# The columns of a flat record, in order.
 FLAT_COLUMNS = (
-    "uid accession accession_version title variant_type variation_name measure_id cdna_change protein_change aliases canonical_spdi genes gene_ids "
-    "chr38 start38 stop38 chr37 start37 stop37 clinical_significance review_status last_evaluated trait_names trait_ids molecular_consequences scv rcv"
-).split()
+    "uid", "accession", "accession_version", "title", "variant_type", "variation_name", "measure_id", "cdna_change", "protein_change", "aliases",
+    "canonical_spdi", "genes", "gene_ids", "chr38", "start38", "stop38", "chr37", "start37", "stop37", "clinical_significance", "review_status",
+    "last_evaluated", "trait_names", "trait_ids", "molecular_consequences", "scv", "rcv",
+)
 
 
 def latest(df: DataFrame, key: str = "uid", order: str = "loaded_at") -> DataFrame:
@@ -78,9 +80,9 @@ def classification(v: Column) -> Column:
     return F.when(is_object, node).otherwise(F.try_parse_json(F.try_variant_get(node, "$", "string")))
 
 
-def parse_nested(raw: DataFrame) -> DataFrame:
-    """Raw payloads to typed nested records; either generation of keys, lists or single objects, unreadable payloads dropped."""
-    base = raw.select("raw_id", "loaded_at", unwrapped(F.col("payload")).alias("v")).filter(F.col("v").isNotNull())
+def parse_nested(raw: DataFrame, keys: tuple[str, ...] = ("raw_id", "loaded_at")) -> DataFrame:
+    """(keys…, record): raw payloads to typed nested records; either generation of keys, lists or single objects, unreadable payloads dropped."""
+    base = raw.select(*(F.col(k).alias(f"__{k}") for k in keys), unwrapped(F.col("payload")).alias("v")).filter(F.col("v").isNotNull())
     base = base.select("*", classification(F.col("v")).alias("g"))
     v, g = F.col("v"), F.col("g")
     first = F.get(items(v, "$.variation_set"), F.lit(0))
@@ -112,8 +114,7 @@ def parse_nested(raw: DataFrame) -> DataFrame:
         ),
     )
     return base.select(
-        "raw_id",
-        "loaded_at",
+        *(F.col(f"__{k}").alias(k) for k in keys),
         *(text_at(v, f"$.{k}").alias(k) for k in ("uid", "accession", "accession_version", "title")),
         either(v, "$.obj_type", "$.variant_type").alias("variant_type"),
         *(text_at(first, f"$.{k}").alias(k) for k in ("measure_id", "variation_name", "cdna_change")),
@@ -143,8 +144,8 @@ def on_assembly(coordinates: Column, assembly: str, field: str) -> Column:
     return F.get(F.filter(coordinates, lambda c: c["assembly"] == assembly), F.lit(0))[field]
 
 
-def flatten_parsed(parsed: DataFrame) -> DataFrame:
-    """The 27 flat string columns, in their fixed order, after raw_id."""
+def flatten_parsed(parsed: DataFrame, keys: tuple[str, ...] = ("raw_id",)) -> DataFrame:
+    """The 27 flat string columns, in their fixed order, after the keys."""
     c = F.col
     made = {
         "genes": TX.join_list(F.transform(c("genes"), lambda g: g["symbol"])),
@@ -161,4 +162,4 @@ def flatten_parsed(parsed: DataFrame) -> DataFrame:
     }
     for short, assembly in (("38", "GRCh38"), ("37", "GRCh37")):
         made |= {f"{f}{short}": on_assembly(c("coordinates"), assembly, f) for f in ("chr", "start", "stop")}
-    return parsed.select("raw_id", *(made.get(name, c(name)).alias(name) for name in FLAT_COLUMNS))
+    return parsed.select(*keys, *(made.get(name, c(name)).alias(name) for name in FLAT_COLUMNS))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -18,7 +19,17 @@ class Tagger(Protocol):
     def __call__(self, text: str) -> list[tuple[str, str, float]]: ...
 
 
-_loaded: dict[str, Tagger] = {}
+_loaded: dict[tuple, Tagger] = {}
+
+
+def loaded(factory: Callable[[], Tagger]) -> Tagger:
+    """The tagger of a factory, built at its first use in this worker. Factories are told apart by their function and its parameters."""
+    f, args = (factory.func, (factory.args, tuple(sorted(factory.keywords.items())))) if isinstance(factory, functools.partial) else (factory, ())
+    kept = tuple(repr(c.cell_contents) for c in (getattr(f, "__closure__", None) or ()))
+    key = (f.__module__, f.__qualname__, repr(args), kept, repr(getattr(f, "__defaults__", None)))
+    if key not in _loaded:
+        _loaded[key] = factory()
+    return _loaded[key]
 
 
 def regex_tagger() -> Tagger:
@@ -30,16 +41,16 @@ def regex_tagger() -> Tagger:
 
 
 def model_tagger(name: str = "hunflair2") -> Tagger:
-    """Adapter to an installed sequence tagger; ImportError where there is none."""
-    from flair.data import Sentence
+    """Adapter to an installed sequence tagger, which reads sentences; ImportError where there is none."""
     from flair.nn import Classifier
+    from flair.splitter import SegtokSentenceSplitter
 
-    model = Classifier.load(name)
+    model, splitter = Classifier.load(name), SegtokSentenceSplitter()
 
     def tag(text: str) -> list[tuple[str, str, float]]:
-        s = Sentence(text)
-        model.predict(s)
-        return [(x.data_point.text, x.value, float(x.score)) for x in s.get_labels()]
+        sentences = splitter.split(text)
+        model.predict(sentences)
+        return [(x.data_point.text, x.value, float(x.score)) for s in sentences for x in s.get_labels()]
 
     return tag
 
@@ -49,7 +60,7 @@ def labels(df: DataFrame, text: str, factory: Callable[[], Tagger] = regex_tagge
 
     @F.pandas_udf(LABELS)
     def tag(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tagger = _loaded.setdefault(f"{factory.__module__}.{factory.__qualname__}", factory())
+        tagger = loaded(factory)
         for s in batches:
             yield s.map(lambda x: [{"text": t, "value": v, "score": p} for t, v, p in tagger(x)] if x else [])
 

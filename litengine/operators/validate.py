@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -15,6 +16,8 @@ from litengine.functions import tokens as TK
 from litengine.functions import variants as V
 from litengine.operators.reconcile import BUCKET_KEYS
 
+log = logging.getLogger("litengine")
+
 CLASSES = ("confirmed", "uncertain", "rejected", "not_assessed")
 VERDICT_DDL = "confirmed array<string>, uncertain array<string>, rejected array<string>, not_assessed array<string>, notes string, error string"
 # The statuses of a report, by precedence, and the note where no chunk left one.
@@ -34,18 +37,6 @@ def unpivot(candidates: DataFrame, keys: tuple[str, ...] = ("run_id",), include_
     )
 
 
-def chunk_ids(costs: Column, available: int) -> Column:
-    """Next-fit over an array of costs: chunk number of each. A chunk closes when the next item would exceed the budget and it is not empty."""
-    start = F.struct(F.lit(0).alias("chunk"), F.lit(0).alias("used"), F.array().cast("array<int>").alias("ids"))
-
-    def step(acc: Column, cost: Column) -> Column:
-        close = (acc["used"] + cost > available) & (acc["used"] > 0)
-        chunk = F.when(close, acc["chunk"] + 1).otherwise(acc["chunk"])
-        return F.struct(chunk.alias("chunk"), F.when(close, cost).otherwise(acc["used"] + cost).alias("used"), F.concat(acc["ids"], F.array(chunk)).alias("ids"))
-
-    return F.aggregate(costs, start, step, lambda acc: acc["ids"])
-
-
 def pack(items: DataFrame, available: int, keys: tuple[str, ...] = ("run_id",), overhead: int = TK.ITEM_OVERHEAD) -> DataFrame:
     """(keys…, chunk_id, pos, bucket, item, cost): order-sensitive next-fit within each key.
 
@@ -86,26 +77,46 @@ def stub_validator(query: str, chunk: dict[str, list[str]]) -> str:
     return json.dumps(out | {"notes": f"{query}: {sum(map(len, chunk.values()))} candidates."})
 
 
+#: Calls made side by side in one task; more than that are spread over tasks.
+THREADS = 8
+
+
 def validate(chunks: DataFrame, query: str, validator: Validator, max_concurrent: int = 3, retries: int = 3, wait: Callable[[float], None] | None = None) -> DataFrame:
-    """One verdict text a chunk, null where the validator failed for good; at most max_concurrent calls at a time. chunks: (chunk_id, bucket, item)."""
-    from litengine.sources.retry import retrying
+    """(chunk_id, verdict, error): one verdict text a chunk, or the last error of a chunk that failed for good. chunks: (chunk_id, bucket, item).
 
-    grouped = chunks.groupBy("chunk_id").agg(F.to_json(F.collect_list(F.struct("bucket", "item"))).alias("c")).repartition(max_concurrent, "chunk_id")
+    At most max_concurrent calls at a time: a chunk that waits for its next attempt holds its own place only, and the next chunk is begun
+    as soon as any place is free.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from litengine.sources.retry import retriable_message, retrying
+
+    tasks = max(1, max_concurrent // THREADS)
+    threads = max(1, max_concurrent // tasks)
+    grouped = chunks.groupBy("chunk_id").agg(F.to_json(F.collect_list(F.struct("bucket", "item"))).alias("c")).repartition(tasks, "chunk_id")
+
+    def one(text: str) -> tuple[str | None, str | None]:
+        chunk: dict[str, list[str]] = {}
+        for x in json.loads(text):
+            chunk.setdefault(x["bucket"], []).append(x["item"])
+        try:
+            return retrying(lambda: validator(query, chunk), retries, worth=lambda e: retriable_message(str(e)), wait=wait), None
+        except Exception as e:
+            log.error("a chunk of %d candidates failed: %s", sum(map(len, chunk.values())), TX.shortened(str(e)))
+            return None, f"{type(e).__name__}: {e}"
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for text in pdf["c"]:
-                chunk: dict[str, list[str]] = {}
-                for x in json.loads(text):
-                    chunk.setdefault(x["bucket"], []).append(x["item"])
-                try:
-                    out.append(retrying(lambda chunk=chunk: validator(query, chunk), retries, wait=wait))
-                except Exception:
-                    out.append(None)
-            yield pd.DataFrame({"chunk_id": pdf["chunk_id"], "verdict": out})
-
-    return grouped.mapInPandas(call, "chunk_id int, verdict string")
+        with ThreadPoolExecutor(threads) as pool:
+            for pdf in batches:
+                got = list(pool.map(one, pdf["c"]))
+                yield pd.DataFrame({"chunk_id": pdf["chunk_id"], "verdict": [v for v, _ in got], "error": [e for _, e in got]})
+
+    return grouped.mapInPandas(call, "chunk_id int, verdict string, error string")
+
+
+def error_verdict(message: str) -> dict:
+    """What stands for a verdict where no validator could be had."""
+    return {"error": message} | {c: [] for c in CLASSES} | {"notes": ""}
 
 
 def parse_verdict(text: Column) -> Column:

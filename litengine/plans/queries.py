@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from litengine.functions import text as TX
@@ -18,6 +18,7 @@ from litengine.operators import reconcile as RE
 from litengine.operators import report as RP
 from litengine.operators import validate as VA
 from litengine.runtime import table
+from litengine.sources import retry as RT
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,13 +77,18 @@ def _articles(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "articles")
 
 
-def _flat(spark: SparkSession, d: str) -> DataFrame:
-    return AS.latest(table(spark, d, "assertions_flat"))
+def _flat(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    df = table(spark, d, "assertions_flat")
+    return AS.latest(df.select(*columns, "loaded_at") if columns else df)
+
+
+def _curated(spark: SparkSession, d: str) -> DataFrame:
+    return _flat(spark, d, "uid", "genes", "variation_name", "clinical_significance")
 
 
 def _mentions(spark: SparkSession, d: str, empty: bool = False) -> DataFrame:
-    arts = _articles(spark, d).filter(F.lit(not empty))
-    return LI.mentions(arts, keep=()).unionByName(AS.curated_mentions(_flat(spark, d), LEVELS))
+    arts = LI.fetched_once(_articles(spark, d).filter(F.lit(not empty)))
+    return LI.mentions(arts, keep=()).unionByName(AS.curated_mentions(_curated(spark, d), LEVELS))
 
 
 # --- flagship -----------------------------------------------------------------------------------
@@ -93,15 +99,36 @@ def entity_crosslink(spark: SparkSession, d: str) -> DataFrame:
     return RE.buckets(_mentions(spark, d)).select("bucket", "etype", "source", "name")
 
 
-@query()
+_DKEY = r"nullif(trim(regexp_replace(lower({}), '[^\p{{L}}\p{{M}}\p{{N}}]+', ' ', 'g')), '')"
+# the canonical traits a packed cell holds: a name between dividers or the cell's ends, more often than longer names in the cell hold it
+_BY_QUERY = rf"""WITH {_MENTIONS},
+runs AS (SELECT DISTINCT query_id, {_DKEY.format('summary.disease_query')} AS disease FROM candidates WHERE query_id IS NOT NULL),
+names AS (SELECT DISTINCT lower(trait_name) AS name, {_DKEY.format('trait_name')} AS disease FROM trait_terms WHERE trait_name IS NOT NULL),
+cells AS (SELECT DISTINCT uid, lower(replace(trait_names, chr(92), '')) AS cell FROM sig WHERE trait_names IS NOT NULL),
+held AS (SELECT uid, name, disease, (length(cell) - length(replace(cell, name, ''))) // length(name) AS n FROM cells JOIN names ON contains(cell, name)
+  WHERE regexp_matches(cell, '(^|[,;|\n"''\[]|\s/\s)\s*' || regexp_escape(name) || '\s*($|[,;|\n"''\]]|\s/\s)')),
+inside AS (SELECT h.uid, h.name, sum(l.n * ((length(l.name) - length(replace(l.name, h.name, ''))) // length(h.name))) AS n FROM held h JOIN held l ON l.uid = h.uid AND l.name <> h.name AND contains(l.name, h.name) GROUP BY 1, 2),
+traits AS (SELECT DISTINCT h.uid, disease FROM held h LEFT JOIN inside i ON i.uid = h.uid AND i.name = h.name WHERE h.n > coalesce(i.n, 0)),
+curated AS (SELECT DISTINCT disease, 'gene' AS etype, regexp_replace(unnest(string_split(genes, ',')), '^\s+|\s+$', '', 'g') AS name FROM sig JOIN traits USING (uid)
+  UNION SELECT disease, 'variant', variation_name FROM sig JOIN traits USING (uid) WHERE variation_name IS NOT NULL),
+qart AS (SELECT query_id, pmid, etype, origin, name FROM (SELECT DISTINCT query_id, pmid FROM articles WHERE query_id IS NOT NULL) JOIN mentions_lit USING (pmid)),
+qm AS (SELECT query_id, etype, origin, name FROM qart UNION ALL SELECT query_id, etype, 'curated', name FROM runs JOIN curated USING (disease)),
+qp AS (SELECT query_id, etype, name, bool_or(origin = 'abstract') AS a, bool_or(origin = 'full_text') AS f, bool_or(origin = 'curated') AS c FROM qm GROUP BY 1, 2, 3), """
+
+
+@query(_BY_QUERY + _BUCKETS.replace("bucket_ord, etype", "bucket_ord, query_id, etype").replace("FROM pres", "FROM qp") + " SELECT query_id, bucket, etype, source, name FROM buck")
 def entity_crosslink_by_query(spark: SparkSession, d: str) -> DataFrame:
-    """All runs in one job: the literature by query_id, the curated records by the run's disease among their traits, however it is typed."""
+    """All runs in one job: the literature by query_id, the curated records by the run's disease among their traits, however it is typed.
+
+    Curated names are made distinct once for each disease, before any run meets them; a run meets names, not records.
+    """
     disease = TX.name_key(F.col("summary.disease_query"))
-    runs = table(spark, d, "candidates").select("query_id", disease.alias("disease")).filter(F.col("query_id").isNotNull()).distinct()
-    traits = split_packed(spark, d, ("trait_names",), _flat(spark, d)).select("uid", TX.name_key(F.col("item")).alias("disease")).distinct()
-    curated = runs.join(traits, "disease").join(_flat(spark, d), "uid")
-    lit = LI.mentions(_articles(spark, d).filter(F.col("query_id").isNotNull()), keep=("query_id",))
-    both = lit.unionByName(AS.curated_mentions(curated, LEVELS, keep=("query_id",)))
+    runs = table(spark, d, "candidates").select("query_id", disease.alias("disease")).filter("query_id is not null and disease is not null").distinct()
+    flat = _flat(spark, d, "uid", "genes", "variation_name", "clinical_significance", "trait_names")
+    traits = split_packed(spark, d, ("trait_names",), AS.significant(flat, LEVELS)).select("uid", TX.name_key(F.col("item")).alias("disease")).filter("disease is not null").distinct()
+    curated = AS.curated_mentions(flat, LEVELS, keep=("uid",)).join(traits, "uid").drop("uid").distinct()
+    lit = LI.mentions(LI.fetched_once(_articles(spark, d).filter(F.col("query_id").isNotNull()), ("query_id", "pmid")), keep=("query_id",))
+    both = lit.unionByName(runs.join(curated, "disease").drop("disease"))
     return RE.buckets(both, ("query_id",)).select("query_id", "bucket", "etype", "source", "name")
 
 
@@ -118,7 +145,7 @@ def empty_source_reconcile(spark: SparkSession, d: str) -> DataFrame:
 def summary_stats(spark: SparkSession, d: str) -> DataFrame:
     from litengine.plans.pipeline import mine
 
-    return mine(_articles(spark, d), _flat(spark, d)).summary.drop("disease_query")
+    return mine(_articles(spark, d), _curated(spark, d)).summary.drop("disease_query")
 
 
 # --- literature ---------------------------------------------------------------------------------
@@ -149,13 +176,13 @@ def mention_filter(spark: SparkSession, d: str) -> DataFrame:
 @query(f"SELECT pmid, hit_rank, query_id FROM articles WHERE contains(lower(concat_ws(' ', title, abstract)), '{DISEASE.lower()}') AND (contains(lower(concat_ws(' ', title, abstract)), 'genetics') OR contains(lower(concat_ws(' ', title, abstract)), 'variant')) ORDER BY hit_rank, pmid, query_id NULLS FIRST, fetched_at LIMIT 10")
 def article_search_topk(spark: SparkSession, d: str) -> DataFrame:
     rank = [F.col("hit_rank"), F.col("pmid"), F.col("query_id").asc_nulls_first(), F.col("fetched_at")]
-    return LI.search_top(_articles(spark, d), F.concat_ws(" ", "title", "abstract"), (DISEASE,), ("genetics", "variant"), rank, 10).select("pmid", "hit_rank", "query_id")
+    return LI.search_top(_articles(spark, d), F.concat_ws(" ", "title", "abstract"), ((DISEASE,), *LI.parsed_terms(" AND (genetics OR variant)")), rank, 10).select("pmid", "hit_rank", "query_id")
 
 
 @query(f"SELECT uid, accession FROM (SELECT DISTINCT uid, accession, trait_names FROM assertions_flat) WHERE contains(lower(trait_names), '{DISEASE.lower()}') ORDER BY uid LIMIT 10")
 def assertion_search_topk(spark: SparkSession, d: str) -> DataFrame:
     df = table(spark, d, "assertions_flat").select("uid", "accession", "trait_names").distinct()
-    return LI.search_top(df, F.col("trait_names"), (DISEASE,), (), [F.col("uid")], 10).select("uid", "accession")
+    return LI.search_top(df, F.col("trait_names"), ((DISEASE,),), [F.col("uid")], 10).select("uid", "accession")
 
 
 _LINKS = "links AS (SELECT pmid, 'PMC' || pmc_numeric_id AS pmcid FROM (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY link_rank, pmc_numeric_id) AS rn FROM id_links WHERE pmid IS NOT NULL) WHERE rn = 1)"
@@ -190,22 +217,36 @@ def full_text_scan_escaped(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.explode(V.variants_in(TX.xml_escape(F.col("text")))).alias("variant"))
 
 
-@query()
+_XML_SAFE = "regexp_replace({}, '[\\x{{0}}-\\x{{8}}\\x{{B}}\\x{{C}}\\x{{E}}-\\x{{1F}}\\x{{FFFE}}\\x{{FFFF}}]', '', 'g')"
+
+
+def _article_xml(sections: Column, title: Column) -> Column:
+    """An article element with an inline mark in its title and a mark at the end of every section."""
+    safe = lambda c: F.regexp_replace(TX.xml_escape(c), r"[\x{0}-\x{8}\x{B}\x{C}\x{E}-\x{1F}\x{FFFE}\x{FFFF}]", "")
+    body = F.array_join(F.transform(sections, lambda s: F.concat(F.lit("<AbstractText>"), safe(s), F.lit("<i>in</i> after</AbstractText>"))), "")
+    return F.concat(F.lit("<PubmedArticle><MedlineCitation><PMID>"), F.col("__id").cast("string"), F.lit("</PMID></MedlineCitation><ArticleTitle>"), safe(title), F.lit("<b>bold</b></ArticleTitle><Abstract>"), body, F.lit("</Abstract></PubmedArticle>"))
+
+
+@query(f"""SELECT pmid, replace(replace(t, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS title, nullif(regexp_replace(replace(replace(a, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '^\\s+|\\s+$', '', 'g'), '') AS abstract
+  FROM (SELECT DISTINCT pmid, {_XML_SAFE.format("coalesce(title, '')")} AS t, {_XML_SAFE.format("coalesce(abstract, '')")} AS a FROM articles WHERE pmid <> '')""")
 def xml_leading_text(spark: SparkSession, d: str) -> DataFrame:
+    """Titles and abstracts written as markup and read again: only what stands before the first inline mark is kept."""
     from litengine.sources.xmlshred import article_fields
 
-    made = F.concat(
-        F.lit("<PubmedArticle><MedlineCitation><PMID>"), F.col("pmid"), F.lit("</PMID></MedlineCitation><ArticleTitle>"), TX.xml_escape(F.coalesce("title", F.lit(""))),
-        F.lit("</ArticleTitle><Abstract><AbstractText>"), TX.xml_escape(F.coalesce("abstract", F.lit(""))), F.lit("<i>in</i> after</AbstractText></Abstract></PubmedArticle>"),
-    )
-    return article_fields(_articles(spark, d).select("pmid", "title", "abstract").distinct().select(made.alias("xml")), "xml")
+    arts = _articles(spark, d).select("pmid", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("abstract", F.lit("")).alias("abstract")).filter("pmid <> ''").distinct()
+    return article_fields(arts.withColumn("__id", F.col("pmid")).select(_article_xml(F.array("abstract"), F.col("title")).alias("xml")), "xml")
 
 
-@query("SELECT doc_id, nullif(trim(array_to_string(list_filter(string_split(text, chr(10)), lambda x: x <> ''), ' '), ' '), '') AS abstract FROM documents")
+@query(f"""SELECT doc_id, nullif(regexp_replace(array_to_string(list_filter(string_split(t, chr(10)), lambda x: x <> ''), ' '), '^\\s+|\\s+$', '', 'g'), '') AS abstract
+  FROM (SELECT doc_id, replace(replace({_XML_SAFE.format("text")}, chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS t FROM documents WHERE text IS NOT NULL)""")
 def abstract_assembly(spark: SparkSession, d: str) -> DataFrame:
-    """Non-empty sections joined by one blank; nothing left gives null."""
-    parts = F.filter(F.split("text", "\n"), lambda x: x != "")
-    return table(spark, d, "documents").select("doc_id", F.nullif(F.trim(F.array_join(parts, " ")), F.lit("")).alias("abstract"))
+    """A text's lines as the sections of an article, read by the article reader: those that are not empty, joined by one blank; nothing left gives null."""
+    from litengine.sources.xmlshred import article_fields
+
+    lines = F.split(F.regexp_replace("text", r"\r\n?", "\n"), "\n")
+    docs = table(spark, d, "documents").filter("text is not null").select(F.col("doc_id").alias("__id"), lines.alias("lines"))
+    read = article_fields(docs.select(_article_xml(F.col("lines"), F.lit("")).alias("xml")), "xml")
+    return read.select(F.col("pmid").cast("long").alias("doc_id"), "abstract")
 
 
 # --- assertions ---------------------------------------------------------------------------------
@@ -360,8 +401,8 @@ def gene_anti_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_MENTIONS}, bag AS (SELECT origin, etype FROM mentions_lit UNION ALL SELECT origin, etype FROM cur) SELECT origin, etype, count(*) AS n FROM bag GROUP BY 1, 2")
 def bag_union(spark: SparkSession, d: str) -> DataFrame:
-    lit = LI.mentions(_articles(spark, d)).distinct().drop("pmid")
-    return lit.unionByName(AS.curated_mentions(_flat(spark, d), LEVELS), allowMissingColumns=True).groupBy("origin", "etype").agg(F.count(F.lit(1)).alias("n"))
+    lit = LI.mentions(LI.fetched_once(_articles(spark, d))).distinct().drop("pmid")
+    return lit.unionByName(AS.curated_mentions(_curated(spark, d), LEVELS), allowMissingColumns=True).groupBy("origin", "etype").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- validation ---------------------------------------------------------------------------------
@@ -402,9 +443,6 @@ def chunk_pack(spark: SparkSession, d: str) -> DataFrame:
     return VA.pack(VA.unpivot(_runs(spark, d)), _AVAILABLE).select("run_id", "bucket", "pos", "item", "cost", "chunk_id")
 
 
-_VERDICT_JSON = "to_json(struct_pack(confirmed := confirmed, uncertain := uncertain, rejected := rejected, not_assessed := not_assessed, notes := notes))"
-
-
 def _verdict_text(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "verdicts").select("run_id", "chunk_no", F.to_json(F.struct(*VA.CLASSES, "notes"), {"ignoreNullFields": "false"}).alias("text"))
 
@@ -420,9 +458,21 @@ def verdict_sizes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "verdicts").select("run_id", "chunk_no", *(F.coalesce(F.array_size(c), F.lit(0)).cast("long").alias(f"n_{c}") for c in VA.CLASSES))
 
 
-@query(f"SELECT run_id, chunk_no, CAST({_VERDICT_JSON} AS VARCHAR) AS text FROM verdicts")
+def _ascii_json(x: str) -> str:
+    """A JSON string with everything beyond ASCII escaped."""
+    four = lambda n: f"'{chr(92)}u' || lpad(lower(to_hex({n})), 4, '0')"
+    return f"""array_to_string(list_transform(string_split(CAST(to_json({x}) AS VARCHAR), ''), lambda ch: CASE WHEN ord(ch) > 65535 THEN {four("55296 + ((ord(ch) - 65536) >> 10)")} || {four("56320 + ((ord(ch) - 65536) & 1023)")}
+      WHEN ord(ch) > 126 THEN {four("ord(ch)")} ELSE ch END), '')"""
+
+
+def _json_lines(c: str) -> str:
+    """A list as it stands in a rendering indented by two blanks."""
+    return f"""CASE WHEN {c} IS NULL THEN 'null' WHEN len({c}) = 0 THEN '[]' ELSE '[' || chr(10) || array_to_string(list_transform({c}, lambda x: '    ' || CASE WHEN x IS NULL THEN 'null' ELSE {_ascii_json('x')} END), ',' || chr(10)) || chr(10) || '  ]' END"""
+
+
+@query("SELECT run_id, chunk_no, '{' || chr(10) || " + " || ',' || chr(10) || ".join([*(f"'  \"{c}\": ' || {_json_lines(c)}" for c in VA.CLASSES), "'  \"notes\": ' || CASE WHEN notes IS NULL THEN 'null' ELSE {} END".format(_ascii_json("notes"))]) + " || chr(10) || '}' AS text FROM verdicts")
 def verdict_to_json(spark: SparkSession, d: str) -> DataFrame:
-    return _verdict_text(spark, d)
+    return table(spark, d, "verdicts").select("run_id", "chunk_no", RP.indented_json([*VA.CLASSES, "notes"]).alias("text"))
 
 
 _MERGED = """base AS (SELECT run_id, count(*) AS chunk_count, count(*) FILTER (ok) AS successful_chunks,
@@ -471,10 +521,9 @@ def retriable_classifier(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT attempt, base, base * pow(2, attempt) AS delay FROM (SELECT unnest(range(0, 5)) AS attempt), (SELECT DISTINCT CAST(l_linenumber AS DOUBLE) AS base FROM lineitem)")
 def backoff_schedule(spark: SparkSession, d: str) -> DataFrame:
-    """Delays without the jitter, for each base delay."""
+    """Delays without the jitter, for each base delay, as the retry combinator makes them."""
     bases = table(spark, d, "lineitem").select(F.col("l_linenumber").cast("double").alias("base")).distinct()
-    attempt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long")))
-    return bases.select("base", attempt.alias("attempt")).select("attempt", "base", (F.col("base") * F.pow(F.lit(2.0), "attempt")).alias("delay"))
+    return bases.select("base", F.posexplode(RT.delay_columns(F.col("base"), 6)).alias("attempt", "delay")).select(F.col("attempt").cast("long").alias("attempt"), "base", "delay")
 
 
 # --- problems 3 and 4 ---------------------------------------------------------------------------

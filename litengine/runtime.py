@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +14,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster in spark.checkpoint.dir; a folder of our own only where none is set, as in tests."""
+    """The shared folder named by the cluster in spark.checkpoint.dir; a folder of our own, removed at exit, only in a local session that names none."""
     sc = spark.sparkContext
     have = sc.getCheckpointDir()
     if have:
         return have
     named = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="litengine-checkpoint-"))
+    if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="litengine-checkpoint-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
+    sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import logging
 import random
 import time
 from collections.abc import Callable
 from typing import TypeVar
 
-from litengine.functions.text import RETRIABLE_MARKS
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
+from litengine.functions.text import RETRIABLE_MARKS, shortened
+
+log = logging.getLogger("litengine")
 T = TypeVar("T")
 #: Kinds of error that a remote source gives in passing.
 RETRIABLE_ERRORS: tuple[type[BaseException], ...] = (OSError, RuntimeError, TimeoutError, ConnectionError)
@@ -23,9 +28,19 @@ def retriable(error: BaseException) -> bool:
     return isinstance(error, RETRIABLE_ERRORS) or retriable_message(str(error))
 
 
+def backoff(base, attempt):  # noqa: ANN001, ANN201
+    """Seconds after failed attempt 0, 1 …, without the jitter; numbers or columns."""
+    return base * 2**attempt
+
+
 def delays(attempts: int, base: float = 1.0, jitter: Callable[[], float] = random.random) -> list[float]:
     """Seconds before the second, third … attempt."""
-    return [base * 2**n + jitter() for n in range(attempts - 1)]
+    return [backoff(base, n) + jitter() for n in range(attempts - 1)]
+
+
+def delay_columns(base: Column, attempts: int) -> Column:
+    """The same delays without the jitter as an array column."""
+    return F.array(*(backoff(base, n) for n in range(attempts - 1)))
 
 
 def retrying(call: Callable[[], T], attempts: int = 5, base: float = 1.0, worth: Callable[[BaseException], bool] = retriable, wait: Callable[[float], None] | None = None) -> T:
@@ -37,5 +52,6 @@ def retrying(call: Callable[[], T], attempts: int = 5, base: float = 1.0, worth:
         except Exception as error:
             if n == attempts - 1 or not worth(error):
                 raise
+            log.warning("attempt %d of %d failed, again in %.1f s: %s", n + 1, attempts, pauses[n], shortened(str(error)))
             (wait or time.sleep)(pauses[n])
     raise ValueError("attempts must be positive")

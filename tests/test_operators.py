@@ -69,7 +69,7 @@ def test_parse_and_flatten(spark):
     assert r["trait_ids"] == "D:3, None:4"
     assert (flat[1]["genes"], flat[1]["trait_ids"], flat[1]["clinical_significance"]) == ("B", "E:1", "X")
     assert flat[2]["genes"] is None
-    assert list(flat[0].asDict())[1:] == AS.FLAT_COLUMNS
+    assert tuple(flat[0].asDict())[1:] == AS.FLAT_COLUMNS
 
 
 def test_significance_exact(spark):
@@ -78,8 +78,6 @@ def test_significance_exact(spark):
 
 
 def test_chunks(spark):
-    costs = spark.createDataFrame([([3, 3, 3, 9, 1],)], "c array<int>")
-    assert costs.select(VA.chunk_ids(F.col("c"), 6)).first()[0] == [0, 0, 1, 2, 3]
     items = spark.createDataFrame([(k, "genes_only_abstract", 2, i, "X" * (4 * (i % 5) + 1)) for k in (1, 2) for i in range(40)], "run_id int, bucket string, bucket_ord int, pos int, item string")
     got = VA.pack(items, 120).collect()
     for k in (1, 2):
@@ -121,7 +119,7 @@ def test_pipeline_and_report(spark, tmp_path):
     mined = PL.mine(arts, recs, cfg)
     s = mined.summary.first()
     assert (s["total_articles_found"], s["genes_from_literature"], s["total_unique_genes"], s["clinvar_pathogenic_variants"]) == (1, 1, 2, 1)
-    verdict = PL.validated(mined, cfg)
+    verdict = PL.validated(mined, cfg, VA.stub_validator)
     v = verdict.first()
     assert v["confirmed"] == ["BRCA2"]
     assert v["mode"] == "single"
@@ -135,7 +133,7 @@ def test_pipeline_and_report(spark, tmp_path):
     assert "Total entities: 4" in text
     assert '"error": "x"' in text
     chunks = spark.createDataFrame([(0, "genes_only_abstract", "A")], "chunk_id int, bucket string, item string")
-    assert VA.validate(chunks, "q", flaky, wait=lambda s: None).first()["verdict"] is None
+    assert VA.validate(chunks, "q", flaky, wait=lambda s: None).first()[1:] == (None, "ValueError: 401 unauthorized")
 
 
 def test_empty_sources(spark):
@@ -164,3 +162,65 @@ def test_cli(monkeypatch):
     monkeypatch.delenv("PERPLEXITY_API_KEY", raising=False)
     with pytest.raises(ValueError, match="not set"):
         config(["-q", "x", "-e", "a@b.c", "-p"])
+
+
+BUILT = []
+
+
+def counted_tagger(label):
+    BUILT.append(label)
+    return lambda text: [(w, "Gene", 0.9 if w != "LOW1" else 0.1) for w in text.split()] + [("XX9", label, 1.0)]
+
+
+def test_a_tagger_is_loaded_once_for_each_of_its_parameters():
+    import functools
+
+    from litengine.operators import tagging as TG
+
+    BUILT.clear()
+    for label in ("Gene", "Gene", "Other", "Gene"):
+        TG.loaded(functools.partial(counted_tagger, label))
+    assert BUILT == ["Gene", "Other"]
+
+
+def test_mining_with_a_tagger(spark):
+    import functools
+
+    arts = spark.createDataFrame([("1", "AB1 LOW1 low", None), ("2", None, "<a><b>CD2</b></a>"), ("3", "AB1", "<a><b>EF3</b></a>"), ("3", "AB1", "<a><b>EF3</b></a>")], "pmid string, abstract string, pmc_xml string")
+    recs = spark.createDataFrame([], "uid string, genes string, variation_name string, clinical_significance string")
+    mined = PL.mine(arts, recs, MiningConfig(min_score=0.5), functools.partial(counted_tagger, "Other"))
+    assert {(r["bucket"], r["name"]) for r in mined.buckets.collect()} == {("genes_only_abstract", "AB1")}  # markup is no acronym
+    plain = PL.mine(arts, recs, MiningConfig(min_score=0.5, full_text_mode="plain"), functools.partial(counted_tagger, "Other"))
+    assert ("genes_only_full_text", "EF3") in {(r["bucket"], r["name"]) for r in plain.buckets.collect()}
+    assert {(r["name"]) for r in PL.mine(arts, recs, MiningConfig(min_score=0.05), functools.partial(counted_tagger, "Gene")).buckets.collect()} >= {"LOW1", "XX9"}
+
+
+def test_search_terms(spark):
+    assert LI.parsed_terms(' AND (genetics OR "gene x") AND b') == (("genetics", "gene x"), ("b",))
+    assert LI.parsed_terms("") == ()
+    with pytest.raises(ValueError, match="another form"):
+        LI.parsed_terms("a NOT b")
+    df = spark.createDataFrame([(1, "X with Genetics"), (2, "x alone"), (3, None)], "r int, t string")
+    assert [r["r"] for r in LI.search_top(df, F.col("t"), (("x",), *LI.parsed_terms(" AND (genetics OR variant)")), [F.col("r")], 5).collect()] == [1]
+
+
+def test_text_report_looks_as_a_table_does(spark):
+    rows = [("Gene", "A", "", "Both", "n1", 1), ("Variant", "c.1A>G, \"q\"", "c.1A>G", "Full Text Only", "note two", 7)]
+    rep = spark.createDataFrame(rows, "`Entity Type` string, `Entity Name` string, `Associated Gene` string, Source string, Notes string, bucket_ord int")
+    lines = list(RP.text_lines(rep, "d"))
+    assert lines[3:-2] == RP.ordered(rep).toPandas().to_string(index=False).split("\n")
+    assert lines[-1] == "Total entities: 2"
+
+
+def test_failed_chunks_do_not_hold_up_others(spark):
+    """Five chunks, three places: the verdicts of all, whatever fails."""
+    chunks = spark.createDataFrame([(i, "b", f"N{i}") for i in range(5)], "chunk_id int, bucket string, item string")
+    got = {r["chunk_id"]: (r["verdict"], r["error"]) for r in VA.validate(chunks, "q", half, 3, 2, wait=lambda s: None).collect()}
+    assert {k for k, (v, _) in got.items() if v} == {1, 3}
+    assert all("429" in e for v, e in got.values() if not v)
+
+
+def half(query, chunk):
+    if int(chunk["b"][0][1:]) % 2 == 0:
+        raise RuntimeError("HTTP 429")
+    return "{}"
