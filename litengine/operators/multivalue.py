@@ -6,16 +6,16 @@ A parsing expression grammar; at each place the alternatives are tried in order
     list     <- '[' blank* (value (blank* ',' blank* value)*)? blank* ']'          whole cell only
     slots    <- slot (divider slot)*
     slot     <- blank* (quoted / known / form / bare)? blank*
-    quoted   <- q (escape / q q / !q .)* q  &(blank* (divider / end))              q: " or '
+    quoted   <- q (escape / q' q' / !q' .)* q'  &(blank* (divider / end))          q, q': " " or ' ' or a pair of curly or angular quotes
     known    <- the longest name of the vocabulary  &(blank* (divider / end))
     form     <- a pattern whose values hold dividers  &(blank* (divider / end))
     bare     <- (escape / bracketed / !divider .)+
     bracketed<- '(' (bracketed / !')' .)* ')'  /  '[' … ']'  /  '{' … '}'
     escape   <- '\\' .
-    divider  <- ',' / ';' / '|' / line end / blank '/' blank
+    divider  <- ',' / ';' / '|' / their full-width forms / ideographic comma / line end / blank '/' blank
 
-A quote that is never closed, or whose end is followed by more text, fails; the parser goes back to its start and takes it as bare
-text, flagged 'quote'. A bracket without its mate is taken as text, flagged 'bracket'. Apostrophes inside a word never open a quote.
+A quote that is never closed, whose end is followed by more text, or inside which another of its kind opens, fails; the parser goes back
+to its start and takes it as bare text, flagged 'quote'. A bracket without its mate is taken as text, flagged 'bracket'. Apostrophes inside a word never open a quote.
 
 Defined cases: a null, empty or blank cell gives no value; empty slots in the middle take a position and give no value, those at the
 end count for nothing; a value equal to the placeholder takes a position and gives no value; repeated values are kept; a cell of any
@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = " \t\r ​﻿"
-DIVIDER = re.compile(r"[,;|\n]|(?<=[ \t])/(?=[ \t])")
+DIVIDER = re.compile(r"[,;|\n\uff0c\uff1b\uff5c\u3001]|(?<=[ \t])/(?=[ \t])")
+QUOTES = {'"': '"', "'": "'", "\u201c": "\u201d", "\u2018": "\u2019", "\u00ab": "\u00bb"}
 CLOSE = {"(": ")", "[": "]", "{": "}"}
 
 
@@ -78,8 +79,8 @@ class Cell:
         return j >= self.n or bool(self.divider(j))
 
     def quoted(self, i: int) -> tuple[str, int] | None:
-        q = self.s[i]
-        if q not in "\"'":
+        q = QUOTES.get(self.s[i])
+        if q is None:
             return None
         if q not in self.last_close:  # the last place where this quote could end a value; beyond it nothing is sought again
             self.last_close[q] = next((k for k in range(self.n - 1, -1, -1) if self.s[k] == q and self.ends(k + 1)), -1)
@@ -99,7 +100,7 @@ class Cell:
                 j += 2
             elif self.ends(j + 1):
                 return "".join(out), j + 1
-            elif q == "'":  # an apostrophe
+            elif q in "'\u2019" and self.s[j - 1] not in BLANK and not self.divider(j - 1):  # an apostrophe
                 out.append(c)
                 j += 1
             else:
@@ -161,12 +162,10 @@ class Cell:
             v = None
         if isinstance(v, list) and not any(isinstance(x, list | dict) for x in v):
             return [(None if x is None else x.strip() if isinstance(x, str) else json.dumps(x), None) for x in v]
-        inner = Cell(t[1:-1], self.g)
-        if t[1:-1].lstrip()[:1] in "\"'" and t[1:-1].strip():  # quoted by other rules than JSON's
-            got = inner.slots()
-            if all(f is None for _, f in got):
-                return got
-        return None
+        if Cell(t, self.g).bracket_end(0) != len(t) or not t[1:-1].strip():
+            return None
+        got = Cell(t[1:-1], self.g).slots()  # quoted by other rules than JSON's, or not at all; one bare value is no list
+        return got if all(f is None for _, f in got) and (len(got) > 1 or t[1:-1].lstrip()[0] in QUOTES) else None
 
     def slots(self) -> list[tuple[str | None, str | None]]:
         out: list[tuple[str | None, str | None]] = []
@@ -178,7 +177,7 @@ class Cell:
                 out.append((None, None))
             else:
                 got = self.quoted(i)
-                if got is None and (self.s[i] == '"' or (self.s[i] == "'" and "'" not in self.s[i + 1 : i + 2])):
+                if got is None and self.s[i] in QUOTES and (self.s[i] != "'" or "'" not in self.s[i + 1 : i + 2]):
                     flag = "quote"
                 got = got or self.literal(i)
                 if got is None:

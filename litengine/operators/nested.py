@@ -1,7 +1,8 @@
 """Deeply nested semi-structured records to flat child tables.
 
 1. infer_shapes: every payload is read once and the kinds found at every path are counted, per partition first, then summed:
-   the merged schema. What comes to the driver is one row for each distinct path and kind, the size of the schema, not of the data.
+   the merged schema. What comes to the driver is one row for each distinct path of an object or a list, the size of the schema, not of
+   the data.
 2. plan: from the merged schema, which paths are lists of objects (child tables), which keys merely wrap such a list, and which
    values are JSON written as a string.
 3. explode_children: native variant expressions built from the plan take every array level apart at once and carry
@@ -23,16 +24,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows (path, kind) the merged schema may have; more come of dictionaries with data in their keys, and are an error: no part is left out.
+#: Rows (path, kind) of objects and lists the merged schema may have. Values never count, however many keys they have; more objects and
+#: lists than that come of dictionaries with data in their keys that hold objects, and are an error: no part is left out.
 MAX_KEYS = 10_000
 
 
-def _kind(x: object) -> str:
-    if isinstance(x, dict):
-        return "object" if x else "empty"
-    if isinstance(x, list):
-        return "array"
-    return "null" if x is None else "string" if isinstance(x, str) else "scalar"
+def _kind(x: dict) -> str:
+    return "object" if x else "empty"
 
 
 def _inner(x: object) -> object:
@@ -46,15 +44,17 @@ def _inner(x: object) -> object:
 
 
 def _walk(path: str, x: object, seen: Counter) -> None:
+    """Counts the objects and lists below a path; what holds neither decides no table."""
     inner = _inner(x)
     if inner is not x:
         seen[path, "json"] += 1
         x = inner
-    seen[path, _kind(x)] += 1
     if isinstance(x, dict):
+        seen[path, _kind(x)] += 1
         for k, v in x.items():
             _walk(f"{path}.{k}", v, seen)
     elif isinstance(x, list):
+        seen[path, "array"] += 1
         for v in x:
             _walk(f"{path}[]", v, seen)
 
@@ -73,6 +73,8 @@ def infer_shapes(df: DataFrame, payload: str) -> dict[str, dict[str, int]]:
                     _walk("$", json.loads(x) if isinstance(x, str) else x, seen)
                 except (ValueError, RecursionError):
                     seen["$", "unreadable"] += 1
+            if len(seen) > MAX_KEYS:
+                break  # an error already: the rest need not be read
         if seen:
             keys = list(seen)
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in keys]), pa.array([k for _, k in keys]), pa.array([seen[k] for k in keys], pa.int64())], ["path", "kind", "n"])
@@ -164,7 +166,7 @@ def _decoded(v: Column, decode: bool) -> Column:
 def _elements(v: Column, node: Node) -> Column:
     """The list at a table's path: as it is, out of its wrapper, or an object standing alone."""
     if node.wrapper:
-        v = _let(v, lambda x: F.coalesce(_get(x, _path(node.wrapper)), x))
+        v = _let(v, lambda x: _let(_get(x, _path(node.wrapper)), lambda w: F.when(_as_array(w).isNotNull() | _as_object(w).isNotNull(), w).otherwise(x)))
     return _let(v, lambda x: F.coalesce(_as_array(x), F.when(_as_object(x).isNotNull(), F.array(x)), F.array().cast("array<variant>")))
 
 

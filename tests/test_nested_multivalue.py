@@ -24,6 +24,16 @@ def test_shred_shapes(spark):
     assert rows(spark, payloads) == {(0, "$.a", 0, 0), (0, "$.a", 0, 1), (0, "$.a.b", 0, 0), (0, "$.a.b", 0, 3), (0, "$.a.b", 1, 0), (1, "$.a", 0, 0), (2, "$.a", 0, 0)}
 
 
+def test_any_number_of_values_decides_no_table(spark):
+    """20,003 keys in one record, a data key in each; the child tables are all there."""
+    payloads = [json.dumps({f"k{i}": i for i in range(20_000)} | {"g": [{"s": 1}]}), json.dumps({"g": {"s": 2}, "h": [{"t": 1}, {}]})]
+    assert rows(spark, payloads) == {(0, "$.g", 0, 0), (1, "$.g", 0, 0), (1, "$.h", 0, 0)}
+
+
+def test_a_key_that_wraps_a_list_and_is_a_value_elsewhere(spark):
+    assert rows(spark, [json.dumps({"g": {"g": [{"s": 1}, {"s": 2}]}}), json.dumps({"g": {"g": "x"}}), json.dumps({"g": [{"g": "y"}]})]) == {(0, "$.g", 0, 0), (0, "$.g", 0, 1), (1, "$.g", 0, 0), (2, "$.g", 0, 0)}
+
+
 def test_shred_empty(spark):
     assert rows(spark, []) == set()
 
@@ -71,6 +81,7 @@ G = MV.Grammar(forms=Q.ALIAS_FORMS, vocabulary=("Narvin's disease, distal, 2", "
     ("cell", "values"),
     [
         (None, []), ("", []), ("   ", []), ("a", ["a"]), ("a, b;c|d\ne / f", list("abcdef")), ("a,,b, ; ", ["a", None, "b"]), ("None, x", [None, "x"]),
+        ('[a, b, "c, d"]', ["a", "b", "c, d"]), ("[Gln12]", ["[Gln12]"]), ("[a; b], c", ["[a; b]", "c"]), ("'a, 'b, c'", ["'a", "b, c"]), ("\u201ca, b\u201d\uff0cc\uff1b\u2018d, e\u2019", ["a, b", "c", "d, e"]), ("it's, o'clock", ["it's", "o'clock"]),
         ('"EX1DEL, 2.3-KB",c.1A>G', ["EX1DEL, 2.3-KB", "c.1A>G"]), ("EX1DEL, 2.3-KB| ABC1, GLY12VAL", ["EX1DEL, 2.3-KB", "ABC1, GLY12VAL"]), ("EX1DEL\\, 2.3-KB", ["EX1DEL, 2.3-KB"]),
         ("c.[1A>G;2del];x", ["c.[1A>G;2del]", "x"]), ("Narvin's disease, distal, 2, Narvin's disease", ["Narvin's disease, distal, 2", "Narvin's disease"]),
         ('["a, b", "c", null]', ["a, b", "c"]), ("['a, b', 'c']", ["a, b", "c"]), ("'a, b', 'c'", ["a, b", "c"]), ('"say ""hi"", you", x', ['say "hi", you', "x"]),
