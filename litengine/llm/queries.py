@@ -85,12 +85,31 @@ def p5_confidence(spark: SparkSession, d: str) -> DataFrame:
     return variant_beliefs(spark, d, only_matches=False)
 
 
+def test_items(spark: SparkSession, d: str) -> list[tuple[int, str | None]]:
+    return [(r[0], r[1]) for r in table(spark, d, "eval_items").select("item_id", "item_text").collect()]  # a fixed list of 240
+
+
 @query()
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     from litengine.llm import leakage as LE
 
-    items = [(r[0], r[1]) for r in table(spark, d, "eval_items").select("item_id", "item_text").collect()]  # a fixed list of 240
-    return LE.leaks(table(spark, d, "documents"), items).select("doc_id", "item_id")
+    return LE.leaks(table(spark, d, "documents"), test_items(spark, d)).select("doc_id", "item_id")
+
+
+@query()
+def p8_spans(spark: SparkSession, d: str) -> DataFrame:
+    """Where the items stand in the documents."""
+    from litengine.llm import leakage as LE
+
+    return LE.spans(table(spark, d, "documents"), test_items(spark, d))
+
+
+@query()
+def p8_removed(spark: SparkSession, d: str) -> DataFrame:
+    """The texts of documents that held items, without them."""
+    from litengine.llm import leakage as LE
+
+    return LE.remove_spans(table(spark, d, "documents"), test_items(spark, d))
 
 
 @query()

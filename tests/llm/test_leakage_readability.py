@@ -35,7 +35,7 @@ def test_leaks(finder, text, found):
 @given(st.lists(st.lists(st.integers(1, 4), max_size=12), min_size=1, max_size=4), st.lists(st.integers(0, 4), max_size=20))
 def test_automaton_against_brute_force(items, seq):
     a = LE.Automaton(items, 3)
-    got = {(end, n, k, e) for end, n, s in a.matches(seq, 3) for k, e in a.ends[s]}
+    got = {(end, n, k, e) for end, n, s in a.matches(seq, 3) for k, e in a.places(s)}
     want = set()
     for end in range(1, len(seq) + 1):
         for k, item in enumerate(items):
@@ -86,11 +86,65 @@ def test_the_match_that_goes_on_may_stand_behind_many_others():
     """50 matches at one place of the document, none of which goes on in the item, before the one that does."""
     f = LE.Finder([(1, "alpha beta gamma delta " + "one two three " * 60)], coverage=0.0)
     doc = "alpha beta gamma zeta one two three".split()
-    covered = [f._share(0, [(0, 0, 3), *others, (5, 4, 2)], doc, doc) for others in ([], [(4, 20 + i, 1) for i in range(50)])]
+    covered = [f._share(0, [(0, 0, 3), *others, (5, 4, 2)], doc, doc)[0] for others in ([], [(4, 20 + i, 1) for i in range(50)])]
     assert covered[0] == pytest.approx(6 / 184)  # the changed word counts too
     assert covered[1] == pytest.approx(56 / 184)
 
 
+def test_an_item_in_a_script_without_blanks():
+    item = "研究人员发现该基因的变异与心肌病有关，但需要更多样本来确认这一点"
+    f = LE.Finder([(1, item), (2, "ผู้ป่วยได้รับยาทุกวันและอาการดีขึ้นอย่างต่อเนื่องภายในสองสัปดาห์")])
+    assert [i for i, _ in f.find("前言。" + item + "。完")] == [1]
+    assert [i for i, _ in f.find(item[: len(item) // 2])] == [1]
+    assert [i for i, _ in f.find(AROUND + "ผู้ป่วยได้รับยาทุกวันและอาการดีขึ้นอย่างต่อเนื่อง")] == [2]
+    assert f.find("这一点出乎意料！一位医生说结果很意外。") == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("aB1é\u0301<b> >\ufb01½①中ไท\u200b-\u2013.,カ\u3099 ", max_size=40))
+def test_words_are_placed_in_the_text_itself(text):
+    at = LE.placed_words(text)
+    assert len(at) == len(LE.words(text))
+    assert all(0 <= a < b <= len(text) for a, b in at)
+    assert all(x[0] <= y[0] and x[1] <= y[1] for x, y in zip(at, at[1:], strict=False))  # one character may be two words
+
+
+def test_spans_and_removal(spark):
+    rest = "The remaining part of this document is about something else entirely."
+    marked = ITEM.replace("965", "<b>965</b>").replace("explants", "ex\u00adplants")
+    rows = [(1, f"{rest} {marked} {rest}"), (2, rest), (3, None), (4, OTHER), (5, rest + " " + ITEM[:60])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = [(7, ITEM), (8, OTHER)]
+    spans = {(r["doc_id"], r["item_id"]): r for r in LE.spans(docs, items).collect()}
+    assert set(spans) == {(1, 7), (4, 8)}
+    r = spans[1, 7]
+    assert rows[0][1][r["span_start"] - 1 : r["span_start"] - 1 + r["span_len"]] == marked[:-1]
+    clean = {r["doc_id"]: r["clean"] for r in LE.remove_spans(docs, items).collect()}
+    assert set(clean) == {1, 4}
+    assert clean[1] == f"{rest} . {rest}"
+    assert LE.Finder(items).find(clean[1]) == []
+    assert {r["doc_id"] for r in LE.spans(docs, items, length=8).collect()} == {1, 4, 5}  # long enough, though no leak
+    assert LE.remove_spans(docs, []).count() == 0
+
+
+def test_items_in_several_passes(spark):
+    docs = spark.createDataFrame([(1, OTHER + " " + ITEM), (2, AROUND)], "doc_id long, text string")
+    items = [(7, ITEM), (8, OTHER), (9, None)]
+    assert len(list(LE.passes(items, 40))) == 2
+    assert {tuple(r)[:2] for r in LE.leaks(docs, items, a_pass=40).collect()} == {(1, 7), (1, 8)}
+
+
+def test_many_items_stay_small():
+    """30,000 items of other words: what is broadcast grows with the items, not with the square of their words."""
+    import pickle
+
+    rng = random.Random(5)
+    items = [(i, " ".join(f"w{rng.randrange(300_000)}x" for _ in range(30))) for i in range(30_000)]
+    f = LE.Finder(items)
+    assert len(pickle.dumps(f)) < 300_000_000
+    assert [i for i, _ in f.find(items[77][1] + " " + AROUND + items[29_999][1])] == [77, 29_999]
+
+
 EASY = ["We can play with the cat at the park.", "He likes to read a red book.", "I can not run with the dog."]
 HARD = ["Constitutive oligomerisation of the homodimer antagonises compensatory transcriptional repression.", "Haploinsufficiency necessitates comprehensive immunophenotyping of the parenchyma.", "Epistatic modification recapitulates mitochondrial bioenergetics in the subpopulations."]
 
