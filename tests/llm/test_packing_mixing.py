@@ -69,18 +69,29 @@ def test_pack_in_spark(spark):
     assert PK.pack(pieces.limit(0), ["run_id"], "cap", ["bucket", "pos", "piece"]).count() == 0
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(1, 50), min_size=1, max_size=8))
-def test_schedule_deviates_less_than_a_block(shares):
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 50), min_size=1, max_size=8), st.integers(0, 10**6))
+def test_schedule_deviates_by_less_than_a_block(shares, seed):
+    """Blocks of any sizes below 100 tokens: after every one, while no source has run out, each has its share to within one block."""
     weights = {f"s{i}": Fraction(x, sum(shares)) for i, x in enumerate(shares)}
-    got = MX.schedule(weights, 200)
-    assert [slot for *_, slot in got] == list(range(200))
-    done = Counter()
-    for s, i, slot in got:
+    rng = np.random.default_rng(seed)
+    sizes = {}
+    for s, w in weights.items():
+        sizes[s] = []
+        while sum(sizes[s]) < 3000 * w:
+            sizes[s].append(int(rng.integers(30, 100)))
+    got, worst = MX.schedule(weights, sizes)
+    assert [slot for *_, slot in got] == list(range(sum(map(len, sizes.values()))))
+    done, tokens, most, running = Counter(), Counter(), 0.0, 0.0
+    for s, i, _ in got:
         assert i == done[s]
         done[s] += 1
-        for k, w in weights.items():
-            assert abs(done[k] - w * (slot + 1)) < 1
+        tokens[s] += sizes[s][i]
+        most = max(most, *(abs(float(tokens[k] - w * sum(tokens.values()))) for k, w in weights.items()))
+        if all(done[k] < len(sizes[k]) for k in weights):
+            running = most
+    assert most == pytest.approx(worst)
+    assert running < 100
 
 
 def test_plan():
@@ -114,4 +125,11 @@ def test_mix(spark):
     assert got[2, "zzz"]["tokens"] == 0
     assert not got[2, "zzz"]["met"]
     assert chosen.count() == chosen.select("mix_id", "doc_id", "copy").distinct().count()
+    # the deviation at every document, counted on the rows themselves
+    sent, worst = Counter(), 0.0
+    for r in sorted((r for r in chosen.collect() if r["mix_id"] == 1), key=lambda r: (r["slot"], r["place"])):
+        sent[r["source"]] += r["tokens"]
+        worst = max(worst, *(abs(sent[s] - w * sum(sent.values())) for s, w in (("a_x", 0.75), ("b", 0.25))))
+    assert worst / got[1, "b"]["block_tokens"] == pytest.approx(got[1, "b"]["worst_blocks"], abs=1e-6)
+    assert got[1, "b"]["worst_blocks"] < 1
     assert MX.mix(docs.limit(0), targets)[0].count() == 0
