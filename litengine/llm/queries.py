@@ -128,24 +128,16 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return SE.sentences(spread(arts.groupBy("pmid").agg(F.max("abstract").alias("abstract"))), "pmid", "abstract")
 
 
-def packable(spark: SparkSession, d: str) -> DataFrame:
-    """Entries of the runs for every budget, pieces of those that exceed it, each with its cost."""
-    from litengine.functions import tokens as TK
-    from litengine.llm import packing as PK
-
-    values = entries(spark, d).filter(F.regexp_replace("value", r"\s+", "") != "")
-    values = values.withColumn("t", TK.estimate(TK.ascii_json_length(F.col("value")))).drop("value")
-    budgets = [tuple(r) for r in table(spark, d, "pack_budgets").filter("token_limit > 0").select("budget_id", "token_limit", F.coalesce("item_overhead", F.lit(0)).alias("item_overhead")).collect()]  # a fixed list
-    each = F.explode(F.array(*(F.struct(F.lit(b).alias("budget_id"), F.lit(c).alias("token_limit"), F.lit(o).alias("item_overhead")) for b, c, o in budgets)))
-    rows = values.withColumn("b", each).select("run_id", "bucket", "pos", "t", "b.*")
-    return PK.pieces(rows, F.col("t"), F.col("token_limit"), F.col("item_overhead")).drop("t", "item_overhead")
-
-
 @query()
 def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    """Entries of the runs for every budget, pieces of those that exceed it, each with its cost and its container."""
+    from litengine.functions import tokens as TK
     from litengine.llm import packing as PK
 
-    out = PK.pack(packable(spark, d), ["run_id", "budget_id"], "token_limit", ["bucket", "pos", "piece"])
+    values = entries(spark, d).filter(F.regexp_replace("value", r"\s+", "") != "")
+    values = values.withColumn("t", TK.estimate(TK.ascii_json_length(F.col("value"))))
+    budgets = table(spark, d, "pack_budgets").filter("token_limit > 0").select("budget_id", "token_limit", F.coalesce("item_overhead", F.lit(0)))
+    out = PK.pack(values, ["run_id"], "t", ["bucket", "pos"], [tuple(r) for r in budgets.collect()])  # a fixed list
     return out.select("run_id", "budget_id", "container", "bucket", "pos", "piece", "cost")
 
 

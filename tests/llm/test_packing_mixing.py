@@ -23,50 +23,100 @@ def test_nnls_against_enumeration():
         assert np.linalg.norm(a @ x - b) <= best + 1e-6
 
 
-@settings(max_examples=80, deadline=None)
-@given(st.dictionaries(st.integers(1, 40), st.integers(1, 60), min_size=1, max_size=12), st.integers(40, 100))
+def one_by_one(hist, capacity):
+    """Best fit, item after item."""
+    gaps = []
+    for c in sorted((c for c, n in hist.items() for _ in range(n)), reverse=True):
+        fit = [g for g in gaps if g >= c]
+        if fit:
+            gaps.remove(min(fit))
+            gaps.append(min(fit) - c)
+        else:
+            gaps.append(capacity - c)
+    return len(gaps)
+
+
+HIST = st.dictionaries(st.integers(1, 40), st.integers(1, 60), min_size=1, max_size=12)
+
+
+@settings(max_examples=120, deadline=None)
+@given(HIST, st.integers(40, 100))
 def test_solve(hist, capacity):
-    found = PK.solve(hist, capacity)
-    used = Counter()
-    for p, times in found:
-        assert times >= 0
-        assert sum(c * k for c, k in p.items()) <= capacity
-        for c, k in p.items():
-            used[c] += k * times
-    assert +used == Counter(hist)
-    n, total = sum(t for _, t in found), sum(c * k for c, k in hist.items())
-    assert n <= max(1, 1.25 * total / capacity + 2) or max(hist) * 2 > capacity
-    # ranks tile every length
-    ranks = Counter()
-    for c, r, times, k, _ in PK.ranges(found):
-        assert r == ranks[c]
-        ranks[c] += times * k
-    assert ranks == +Counter(hist)
+    assert PK.size(PK.best_fit(hist, capacity)) == one_by_one(hist, capacity)
+    for found in (PK.solve(hist, capacity), PK.by_patterns(hist, capacity), PK.best_fit(hist, capacity)):
+        used = Counter()
+        for p, times in found:
+            assert times > 0
+            assert sum(c * k for c, k in p.items()) <= capacity
+            for c, k in p.items():
+                used[c] += k * times
+        assert +used == Counter(hist)
+        # ranks tile every length
+        ranks = Counter()
+        for c, r, times, k, _ in PK.ranges(found):
+            assert r == ranks[c]
+            ranks[c] += times * k
+        assert ranks == +Counter(hist)
+    n = PK.size(PK.solve(hist, capacity))
+    assert PK.least(hist, capacity) <= n <= one_by_one(hist, capacity)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 20), st.integers(1, 4), min_size=1, max_size=8), st.integers(20, 60))
+def test_fullest_against_enumeration(hist, capacity):
+    first = max(hist)
+    best = 0
+    for counts in np.ndindex(*(n + 1 for n in hist.values())):
+        p = dict(zip(hist, counts, strict=True))
+        total = sum(c * k for c, k in p.items())
+        if p[first] and total <= capacity:
+            best = max(best, total)
+    got = PK.fullest(hist, sorted(hist, reverse=True), first, capacity)
+    assert got[first] >= 1
+    assert all(k <= hist[c] for c, k in got.items())
+    assert sum(c * k for c, k in got.items()) == best
 
 
 def test_solve_is_tight():
-    assert sum(t for _, t in PK.solve({60: 100, 40: 100}, 100)) == 100
-    assert sum(t for _, t in PK.solve({50: 7, 25: 2}, 100)) == 4
+    assert PK.size(PK.solve({60: 100, 40: 100}, 100)) == 100
+    assert PK.size(PK.solve({50: 7, 25: 2}, 100)) == 4
+    assert PK.size(PK.solve({45: 2, 35: 2, 20: 2, 10: 2, 30: 2}, 140)) == 2
     assert PK.solve({}, 10) == []
 
 
-def test_pack_in_spark(spark):
-    rows = [(r, "b", i, 1 + (i * 7) % 23) for r in (1, 2) for i in range(300)] + [(3, "b", 0, 130), (4, "b", 0, 5)]
-    df = spark.createDataFrame(rows, "run_id long, bucket string, pos int, t int").withColumn("cap", F.lit(50))
-    pieces = PK.pieces(df, F.col("t"), F.col("cap"), F.lit(10))
-    out = PK.pack(pieces.withColumn("k", F.lit("x")), ["run_id"], "cap", ["bucket", "pos", "piece"]).collect()
-    load = Counter()
-    for r in out:
-        load[r["run_id"], r["container"]] += r["cost"]
-    assert max(load.values()) <= 50
-    assert len({(r["run_id"], r["pos"], r["piece"]) for r in out}) == len(out) == 602 + 3
-    assert sorted(r["cost"] for r in out if r["run_id"] == 3) == [20, 50, 50, 50]
-    for run in (1, 2):
-        ids = {c for r, c in load if r == run}
-        assert ids == set(range(len(ids)))
-        assert len(ids) <= 1.2 * sum(r["cost"] for r in out if r["run_id"] == run) / 50 + 1
-    assert PK.pieces(df, F.col("t"), F.lit(10), F.lit(10)).count() == 0
-    assert PK.pack(pieces.limit(0), ["run_id"], "cap", ["bucket", "pos", "piece"]).count() == 0
+def test_more_lengths_and_items_than_any_list_could_hold():
+    """Six million items of sixty lengths, and a thousand lengths: fillings come with their multiplicity."""
+    rng = np.random.default_rng(3)
+    hist = {int(c): 100_000 for c in rng.choice(np.arange(20, 900), 60, replace=False)}
+    found = PK.solve(hist, 1000)
+    assert len(found) < 2_000
+    assert PK.least(hist, 1000) <= PK.size(found) <= PK.size(PK.best_fit(hist, 1000))
+    many = {c: 3 for c in range(1, 1001)}
+    assert PK.size(PK.solve(many, 4096)) <= PK.size(PK.best_fit(many, 4096))
+
+
+def test_pack_in_spark(spark, monkeypatch):
+    rows = [(r, "b", i, 1 + (i * 7) % 23) for r in (1, 2) for i in range(300)] + [(3, "b", 0, 130), (4, "b", 0, 5), (5, "b", 0, 40), (5, "b", 1, 80), (5, "b", 2, 80)]
+    df = spark.createDataFrame(rows, "run_id long, bucket string, pos int, t int").withColumns({"k": F.lit("x"), "piece": F.lit("clash")})
+    budgets = [(1, 50, 10), (2, 200, 0), (3, 10, 10)]
+    for block in (PK.BLOCK, 4):  # equal items in one block, and in many
+        monkeypatch.setattr(PK, "BLOCK", block)
+        out = PK.pack(df, ["run_id"], "t", ["bucket", "pos"], budgets).collect()
+        load, cost = Counter(), Counter()
+        for r in out:
+            load[r["budget_id"], r["run_id"], r["container"]] += r["cost"]
+            cost[r["budget_id"], r["run_id"], r["pos"]] += r["cost"]
+        assert {r["budget_id"] for r in out} == {1, 2}
+        assert all(n <= {1: 50, 2: 200}[b] for (b, *_), n in load.items())
+        assert len({(r["budget_id"], r["run_id"], r["pos"], r["piece"]) for r in out}) == len(out) == 600 + 4 + 1 + 1 + 2 + 2 + 605
+        for run, _, pos, t in rows:  # nothing lost: every piece bears the overhead
+            assert cost[1, run, pos] == t + 10 * -(-t // 40)
+            assert cost[2, run, pos] == t
+        for b, run in {(b, run) for b, run, _ in load}:
+            ids = {c for x, r, c in load if (x, r) == (b, run)}
+            assert ids == set(range(len(ids)))
+        assert sorted(r["cost"] for r in out if (r["run_id"], r["budget_id"]) == (3, 1)) == [20, 50, 50, 50]
+    assert PK.pack(df.limit(0), ["run_id"], "t", ["bucket", "pos"], budgets).count() == 0
 
 
 @settings(max_examples=100, deadline=None)
