@@ -251,8 +251,8 @@ def pack(items: DataFrame, group: list[str], tokens: str, place: list[str], budg
     """
     spark = items.sparkSession
     rows = items.select(*group, *place, F.col(tokens).cast("long").alias("__t"))
-    hist = rows.groupBy(*group, "__t").agg(F.count(F.lit(1)).alias("n"))
-    hist = hist.groupBy(*group).agg(F.collect_list(F.struct(F.col("__t").alias("t"), "n")).alias("h"))  # an entry for each distinct size
+    counts = rows.groupBy(*group, "__t").agg(F.count(F.lit(1)).alias("n"))
+    hist = counts.groupBy(*group).agg(F.collect_list(F.struct(F.col("__t").alias("t"), "n")).alias("h"))  # an entry for each distinct size
     keys = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in hist.select(*group).schema.fields)
     where = "array<struct<budget_id:int,room:long,overhead:int,full:long,last:long,shift:long,base:long,ranges:array<struct<r:long,times:long,k:long,c:long>>>>"
 
@@ -271,7 +271,7 @@ def pack(items: DataFrame, group: list[str], tokens: str, place: list[str], budg
     # rank of an item among those of its size: its place within its block, after the items of earlier blocks; nearly all are one block
     met = met.withColumn("__b", F.when(F.col("__n") > BLOCK, F.pmod(F.xxhash64(*place), F.ceil(F.col("__n") / BLOCK))).otherwise(0))
     met = met.withColumn("__r", F.row_number().over(W.partitionBy(*group, "__t", "__b").orderBy(*place)).cast("long") - 1)
-    big = rows.join(described.filter(F.col("__n") > BLOCK).select(*group, "__t", "__n"), [*group, "__t"])
+    big = rows.join(counts.filter(F.col("n") > BLOCK).withColumnRenamed("n", "__n"), [*group, "__t"])
     blocks = big.groupBy(*group, "__t", F.pmod(F.xxhash64(*place), F.ceil(F.col("__n") / BLOCK)).alias("__b")).agg(F.count(F.lit(1)).alias("__k"))
     before = F.coalesce(F.sum("__k").over(W.partitionBy(*group, "__t").orderBy("__b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     met = met.join(blocks.withColumn("__from", before).drop("__k"), [*group, "__t", "__b"], "left").withColumn("__r", F.col("__r") + F.coalesce("__from", F.lit(0)))
