@@ -122,10 +122,11 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks of 512 characters: most abstracts are several, so boundaries come out of the composition."""
     from litengine.llm import sentences as SE
 
     arts = table(spark, d, "articles").filter("pmid is not null and abstract is not null").select("pmid", "abstract")
-    return SE.sentences(spread(arts.groupBy("pmid").agg(F.max("abstract").alias("abstract"))), "pmid", "abstract")
+    return SE.sentences(arts.groupBy("pmid").agg(F.max("abstract").alias("abstract")), "pmid", "abstract", chunk=512)
 
 
 @query()

@@ -1,13 +1,14 @@
 """Sentence boundaries across languages and scripts (problem 2).
 
-The rules are compiled into a finite transducer. Its input are the events of a text: openers and closers of quotes and brackets,
-line ends, places where a sentence may end. Its state is the open quote (none or one of five kinds) and the depth of brackets
-(0 to 2), 18 states in all; its output are the boundaries. Whether a place can end a sentence is decided by what stands within
-MARGIN characters of it, so the events of a chunk can be found without the chunks before.
+The rules are compiled into a transducer. Its input are the events of a text: openers and closers of quotes and brackets, line ends, places
+where a sentence may end. Its state is the open quote (none or one of five kinds) and the depth of brackets; its output are the boundaries.
+An event's effect is a state function of eight numbers (where each quote goes, and two for the depth), and these are closed under
+composition. Whether a place can end a sentence is decided by what stands within MARGIN characters of it; whether an opener has a mate in
+its line, however far, by a second scan from right to left.
 
-A text of up to CHUNK characters is run through at once. A longer one is cut into chunks: every chunk is a function from the state it
-is entered in to the state it is left in (a vector of 18), the functions are composed by a parallel prefix scan, and each chunk then
-emits its boundaries from its own entry state. Chunks are rows, so one very long text is spread over many tasks.
+Every text is cut into chunks of CHUNK characters, between two letters. A chunk is a function from the state it is entered in to the state
+it is left in; functions are composed by a parallel prefix scan, and each chunk then emits its boundaries from its own entry state. Chunks
+are rows, so one very long text is spread over many tasks; short texts take the same way.
 
 Defined cases: null, empty and blank texts have no sentence; a text without any boundary is one sentence; every visible character
 belongs to exactly one sentence; a sentence has no outer white space; unclosed quotes and brackets hold to the end of their line
@@ -17,7 +18,6 @@ only if their mate stands on it.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-CHUNK, MARGIN = 20_000, 600
+from litengine.runtime import checkpoint, parallelism
+
+CHUNK, MARGIN = 4_096, 200
 
 # Abbreviations after which a sentence goes on, in lower case, of all languages together.
 NEVER = frozenset(
@@ -50,42 +52,12 @@ _EVENT = re.compile(
 _THAI = re.compile("ดังนั้น|นอกจากนี้|อย่างไรก็ตาม|อย่างไรก็ดี|การ|ผล|ผู้ป่วย|ผู้วิจัย|ผู้เข้าร่วม|อายุ|แต่|เพราะ|เนื่องจาก|จากการ|ในการ|ทั้งนี้|สรุป|เมื่อ|โดยสรุป|เรา|คณะ|วัตถุประสงค์|วิธีการ|บทนำ")
 _CJK = re.compile("[぀-ヿ㐀-鿿]")
 _VARIANT = re.compile(r"[cgmnp]\.[\d(*A-Z\[-]|rs\d|(?:si|m|mi|lnc|sh|t|r)RNA")
-_SUBJECT = re.compile(r"(?:an? )?[a-z-]+(?: [a-z-]+){0,2} (?:found|showed|revealed|identified|detected) ")
+_SUBJECT = re.compile(r"(?:an? )?[a-z-]{1,25}(?: [a-z-]{1,25}){0,2} (?:found|showed|revealed|identified|detected) ")
 _ORDINAL = re.compile(rf"(?:^|\s)(?:Die|Der|Das|Am|Im|Vom|Zum|Zur|Ab der|Seit dem|der|die|das|dem|den|am|im|vom|zum|zur|beim) \d{{1,2}}$")
 _GERMAN_DAY = re.compile(rf"\s(?:{MONTHS})\b", re.I)
 _BEFORE = re.compile(r"[^\s()\[\]{}\"“”„«»,;:/—!?。！？।…]*$")
 _QUOTES = frozenset("\"”’»」』“")
 
-# States: quote kind (0 none, 1 straight, 2 curly, 3 low-high, 4 guillemets, 5 corner) x bracket depth.
-_DEPTHS = 3
-STATES = 6 * _DEPTHS
-_QOPEN = {"“": 2, "„": 3, "«": 4, "《": 4, "「": 5, "『": 5}
-_QCLOSE = {"”": (2, 3), "“": (3,), "»": (4,), "》": (4,), "」": (5,), "』": (5,)}
-_MATES = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】", "“": "”", "„": "“”", "«": "»", "《": "》", "「": "」", "『": "』", '"': '"'}
-
-
-def _step(state: int, c: str) -> int:
-    """The transducer's move on one mark."""
-    q, p = divmod(state, _DEPTHS)
-    if c == '"':
-        q = 1 if q == 0 else 0 if q == 1 else q
-    elif c in _QCLOSE and q in _QCLOSE[c]:
-        q = 0
-    elif c in _QOPEN:
-        q = q or _QOPEN[c]
-    elif c in "([{（【":
-        p = min(p + 1, _DEPTHS - 1)
-    elif c in ")]}）】":
-        p = max(p - 1, 0)
-    return q * _DEPTHS + p
-
-
-#: The compiled transition table: mark -> state -> state.
-TABLE = {c: np.array([_step(s, c) for s in range(STATES)], dtype=np.int8) for c in '([{（【)]}）】"“”„«»《》「」『』'}
-IDENTITY = np.arange(STATES, dtype=np.int8)
-RESET = np.zeros(STATES, dtype=np.int8)
-
-
 def _starts_sentence(s: str, i: int) -> bool:
     """What follows, at i, can begin a sentence after an abbreviation."""
     c = s[i]
@@ -118,7 +90,7 @@ def _can_end(s: str, a: int, stop: str, b: int) -> bool:
         return False
     if last in "!?؟":
         return spaced and (not quoted or not (nxt.islower() and not _VARIANT.match(s, i)) and not _caseless(nxt))
-    word = _BEFORE.search(s, max(0, a - 60), a).group()
+    word = _BEFORE.search(s, max(0, a - 100), a).group()
     head, dot, tail = word.rpartition(".")
     if dot and len(tail) > 1 and len(head.rpartition(".")[2]) > 2:  # the word before ended with a stop that has no blank after it
         word = tail
@@ -161,160 +133,272 @@ def _caseless(c: str) -> bool:
     return c.isalpha() and c.lower() == c.upper()
 
 
-def _has_mate(s: str, i: int, c: str) -> bool:
-    """Whether an opener's mate stands on its line, within MARGIN."""
-    end = s.find("\n", i + 1, i + MARGIN)
-    end = min(len(s), i + MARGIN) if end < 0 else end
-    return any(s.find(m, i + 1, end) >= 0 for m in _MATES[c])
-
+# --- the transducer -----------------------------------------------------------------------------
 
-def events(s: str, start: int = 0, end: int | None = None) -> list[tuple[np.ndarray, int, int, bool]]:
-    """(transition, where the sentence ends, where the next begins, can be a boundary) of the events that begin in [start, end)."""
-    end = len(s) if end is None else end
-    out = []
-    for m in _EVENT.finditer(s, max(0, start - 8)):
+# State: the open quote (0 none, 1 straight, 2 curly, 3 low-high, 4 guillemets, 5 corner) and the depth of brackets, which has no bound.
+KINDS = 6
+_QOPEN = {"“": 2, "„": 3, "«": 4, "《": 4, "「": 5, "『": 5}
+_QCLOSE = {"”": (2, 3), "“": (3,), "»": (4,), "》": (4,), "」": (5,), "』": (5,)}
+_MATES = {"(": ")", "[": "]", "{": "}", "（": "）", "【": "】", "“": "”", "„": "“”", "«": "»", "《": "》", "「": "」", "『": "』", '"': '"'}
+_CLOSERS = {c: 1 << i for i, c in enumerate(dict.fromkeys("".join(_MATES.values())))}
+#: An opener's closers as bits: it opens something only if one of them stands further on in its line.
+_WANTS = {c: sum(_CLOSERS[m] for m in ms) for c, ms in _MATES.items()}
+_LINE_END = re.compile("[\n\r\x0b\x0c\x85  ]")
+_AHEAD = re.compile("[" + re.escape("".join(_CLOSERS)) + "\n\r\x0b\x0c\x85  ]")
+
+#: A state function: where each quote goes, and the depth d → max(d + a, b). Such functions are closed under composition, so a chunk of any
+#: length is KINDS + 2 numbers.
+Function = tuple[tuple[int, ...], int, int]
+FAR = -(10**9)
+IDENTITY: Function = (tuple(range(KINDS)), 0, 0)
+RESET: Function = ((0,) * KINDS, FAR, 0)
+
+
+def _quote(q: int, c: str) -> int:
+    """The open quote after a mark."""
+    if c == '"':
+        return 1 if q == 0 else 0 if q == 1 else q
+    if c in _QCLOSE and q in _QCLOSE[c]:
+        return 0
+    return q or _QOPEN.get(c, 0)
+
+
+#: The compiled transition table: mark → state function.
+TABLE: dict[str, Function] = {c: (IDENTITY[0], 1, 0) for c in "([{（【"} | {c: (IDENTITY[0], -1, 0) for c in ")]}）】"}
+TABLE |= {c: (tuple(_quote(q, c) for q in range(KINDS)), 0, 0) for c in '"“”„«»《》「」『』'}
+#: What an opener does that has no mate: a straight quote and the end of a low-high one can still close.
+ALONE: dict[str, Function] = {'"': ((0, 0, 2, 3, 4, 5), 0, 0), "“": ((0, 1, 2, 0, 4, 5), 0, 0)}
+
+
+def then(f: Function, g: Function) -> Function:
+    """f, then g."""
+    return tuple(g[0][q] for q in f[0]), max(f[1] + g[1], FAR), max(f[2] + g[1], g[2])
+
+
+def events(s: str, start: int, end: int, ahead: int) -> Iterator[tuple[Function, int, int, bool, int]]:
+    """(function, where the sentence ends, where the next begins, can be a boundary, closers that would change the function) of the events
+    that begin in [start, end). ahead: the closers that stand after `end` in the line that is open there."""
+    closers: list[tuple[int, int]] = []  # (place, bit; 0 a line end), to know what is ahead of an opener
+    for m in _AHEAD.finditer(s, start, end):
+        closers.append((m.start(), _CLOSERS.get(m.group(), 0)))
+    mask, masks = ahead, []
+    open_end = True
+    for _, bit in reversed(closers):
+        masks.append((mask, open_end))
+        mask, open_end = (0, False) if bit == 0 else (mask | bit, open_end)
+    masks.reverse()  # masks[i]: closers after the i-th place in its line, and whether the line goes on beyond `end`
+    masks.append((ahead, True))
+    first, last = (mask, open_end), 0
+    for m in _EVENT.finditer(s, start):
         a, b = m.span()
-        if a < start:
-            continue
         if a >= end:
             break
         kind = m.lastgroup
         if kind == "line":
-            out.append((RESET, a, b, True))
+            yield RESET, a, b, True, 0
         elif kind == "stop":
             move = IDENTITY
             for c in m.group():
-                if c in TABLE and not c.isdigit():
-                    move = TABLE[c][move] if c != "[" and c != "]" else move
-            out.append((move, b, b, _can_end(s, a, m.group(), b)))
+                if c in TABLE and c not in "[]":
+                    move = then(move, TABLE[c])
+            yield move, b, b, _can_end(s, a, m.group(), b), 0
         elif kind == "mark":
             c = s[a]
-            if c in _MATES and c != '"' and not _has_mate(s, a, c):
-                # an opener that is never closed on its line is text; a low-high quote's end looks like an opener
-                if c == "“":
-                    out.append((np.array([_step(x, c) if x // _DEPTHS == 3 else x for x in range(STATES)], dtype=np.int8), a, a, False))
-                continue
-            if c == '"' and not _has_mate(s, a, c):  # it can only close
-                out.append((np.array([x % _DEPTHS if x // _DEPTHS == 1 else x for x in range(STATES)], dtype=np.int8), a, a, False))
+            if c not in _MATES:
+                yield TABLE[c], a, a, False, 0
                 continue
-            out.append((TABLE[c], a, a, False))
+            while last < len(closers) and closers[last][0] <= a:
+                last += 1
+            have, on = masks[last - 1] if last else first
+            # what stands at `a` itself is behind it
+            if last == 0 and closers:
+                have, on = first
+            if have & _WANTS[c]:
+                here = have & ~ahead & _WANTS[c]
+                yield TABLE[c], a, a, False, 0 if here or not on else _WANTS[c]
+            else:
+                yield ALONE.get(c, IDENTITY), a, a, False, _WANTS[c] if on else 0
         else:
             cjk = not "฀" <= s[b] <= "๿" or _CJK.match(s[a - 1])
-            out.append((IDENTITY, a, b, bool(cjk) or bool(_THAI.match(s, b))))
+            yield IDENTITY, a, b, bool(cjk) or bool(_THAI.match(s, b)), 0
+
+
+def cuts(s: str, chunk: int) -> list[int]:
+    """Where chunks begin: between two letters, at or after every multiple of the size. No event lies across such a place."""
+    out, at = [0], chunk
+    while at < len(s):
+        while at < len(s) and not (s[at].isalpha() and s[at - 1].isalpha()):
+            at += 1
+        if at < len(s):
+            out.append(at)
+        at += chunk
     return out
 
 
-def chunk_function(evs: list) -> np.ndarray:
-    """State on leaving the chunk, for every state on entering it."""
-    f = IDENTITY
-    for move, *_ in evs:
-        f = move[f]
-    return f
-
-
-def compose(functions: list[np.ndarray]) -> list[np.ndarray]:
-    """Prefix compositions by doubling: after round k each holds the last 2^k functions; associative, so the rounds can run side by side."""
-    scan, step = [f.copy() for f in functions], 1
-    while step < len(scan):
-        scan = [scan[i][scan[i - step]] if i >= step else scan[i] for i in range(len(scan))]
+def summary(s: str, start: int, end: int) -> tuple[bool, int]:
+    """(a line ends in the chunk, closers before the first line end)"""
+    m = _LINE_END.search(s, start, end)
+    stop = m.start() if m else end
+    return m is not None, sum({_CLOSERS[x.group()] for x in _AHEAD.finditer(s, start, stop)})
+
+
+def variant(s: str, start: int, end: int, ahead: int) -> tuple[Function, list[Function], list[tuple[int, int, int]], int]:
+    """(the chunk's function, functions up to its possible boundaries, (trimmed end, next start, number of that function) of these, closers
+    further on that matter)"""
+    f, matter, at, found = IDENTITY, 0, {}, []
+    for move, a, b, possible, wants in events(s, start, end, ahead):
+        f = then(f, move)
+        matter |= wants
+        if possible:
+            e = a
+            while e > 0 and s[e - 1].isspace():
+                e -= 1
+            while b < len(s) and s[b].isspace():
+                b += 1
+            found.append((e, b, at.setdefault(f, len(at))))
+    return f, list(at), found, matter
+
+
+def variants(s: str, start: int, end: int) -> tuple[int, list[tuple[int, Function, list[Function], list[tuple[int, int, int]]]]]:
+    """(closers ahead that matter, a variant for each combination of them). There is one, unless an opener near the end awaits its mate."""
+    f, fs, found, matter = variant(s, start, end, 0)
+    out = [(0, f, fs, found)]
+    bits = [b for b in _CLOSERS.values() if b & matter]
+    for k in range(1, 1 << len(bits)):
+        key = sum(b for i, b in enumerate(bits) if k >> i & 1)
+        out.append((key, *variant(s, start, end, key)[:3]))
+    return matter, out
+
+
+def compose(q: np.ndarray, a: np.ndarray, b: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(open quote, depth) in which every chunk is entered. Rows are chunks of many texts, in order: q (n, KINDS), a, b; text: whose they are.
+
+    A parallel prefix scan by doubling: after round k every row holds the composition of the last 2^k chunks of its text; all rows of a
+    round are computed side by side.
+    """
+    q, a, b, step, n = q.copy(), a.astype(np.int64), b.astype(np.int64), 1, len(a)
+    while step < n:
+        i = np.flatnonzero(text[step:] == text[:-step]) + step
+        if not len(i):
+            break
+        j = i - step
+        q[i], a[i], b[i] = np.take_along_axis(q[i], q[j], axis=1), np.maximum(a[j] + a[i], FAR), np.maximum(b[j] + a[i], b[i])
         step *= 2
-    return scan
-
-
-def emit(evs: list, state: int) -> list[tuple[int, int]]:
-    """(end, next start) of the boundaries, from the state the chunk is entered in."""
-    out = []
-    for move, a, b, possible in evs:
-        state = int(move[state])
-        if possible and state == 0:
-            out.append((a, b))
+    quote, depth = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    later = np.flatnonzero(text[1:] == text[:-1]) + 1
+    quote[later], depth[later] = q[later - 1, 0], np.maximum(a[later - 1], b[later - 1])
+    return quote, depth
+
+
+def closers_ahead(ends_line: np.ndarray, mask: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The closers after every chunk in the line that is open at its end: the same scan from right to left, over (a line ends, bits)."""
+    stop, bits, step, n = ends_line.copy(), mask.copy(), 1, len(mask)
+    while step < n:
+        i = np.flatnonzero(text[step:] == text[:-step])
+        if not len(i):
+            break
+        j = i + step
+        bits[i], stop[i] = np.where(stop[i], bits[i], bits[i] | bits[j]), stop[i] | stop[j]
+        step *= 2
+    out = np.zeros(n, dtype=np.int64)
+    more = np.flatnonzero(text[1:] == text[:-1])
+    out[more] = bits[more + 1]
     return out
 
 
-def spans(s: str, cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """(start, length) of the sentences between boundaries, without outer white space."""
-    out, at = [], 0
-    for a, b in [*cuts, (len(s), len(s))]:
-        part = s[at:a]
-        core = part.strip()
-        if core:
-            out.append((at + len(part) - len(part.lstrip()), len(core)))
-        at = max(at, b)
-    return out
+def _enter(chunks: list[tuple[int, bool, int, int, list]]) -> list[tuple[int, int, int]]:
+    """(ahead, quote, depth) for the chunks (text, ends_line, mask, matter, [(key, q, a, b)]) of many texts, in order."""
+    text = np.array([c[0] for c in chunks])
+    ahead = closers_ahead(np.array([c[1] for c in chunks], dtype=bool), np.array([c[2] for c in chunks], dtype=np.int64), text)
+    keys = [int(x) & c[3] for x, c in zip(ahead, chunks, strict=True)]
+    fs = [next(v[1:] for v in c[4] if v[0] == k) for k, c in zip(keys, chunks, strict=True)]
+    quote, depth = compose(np.array([f[0] for f in fs], dtype=np.int64), np.array([f[1] for f in fs]), np.array([f[2] for f in fs]), text)
+    return list(zip(keys, quote.tolist(), depth.tolist(), strict=True))
 
 
 def split(s: str, chunk: int = CHUNK) -> list[tuple[int, int]]:
     """(start, length) of the sentences of one text; positions from 0. The same for any chunk size."""
-    if len(s) <= chunk:
-        return spans(s, emit(events(s), 0))
-    parts = [events(s, a, min(a + chunk, len(s))) for a in range(0, len(s), chunk)]
-    entry = [0, *(int(f[0]) for f in compose([chunk_function(p) for p in parts])[:-1])]
-    return spans(s, [c for p, e in zip(parts, entry, strict=True) for c in emit(p, e)])
-
+    at = cuts(s, chunk)
+    pieces = [(a, b, *variants(s, a, b)) for a, b in zip(at, [*at[1:], len(s)], strict=True)]
+    entry = _enter([(0, *summary(s, a, b), matter, [(k, *f) for k, f, *_ in vs]) for a, b, matter, vs in pieces])
+    out, open_at = [], len(s) - len(s.lstrip())
+    for (*_, vs), (key, quote, depth) in zip(pieces, entry, strict=True):
+        _, _, fs, found = next(v for v in vs if v[0] == key)
+        outside = [q[quote] == 0 and max(depth + a, b) == 0 for q, a, b in fs]
+        for e, b, i in found:
+            if outside[i]:
+                if e > open_at:
+                    out.append((open_at, e - open_at))
+                open_at = max(open_at, b)
+    if len(s.rstrip()) > open_at:
+        out.append((open_at, len(s.rstrip()) - open_at))
+    return out
 
-def sentences(df: DataFrame, key: str, text: str, chunk: int = CHUNK) -> DataFrame:
-    """(key, sent_start, sent_len), positions from 1. df: one row a key."""
-    kind = df.schema[key].dataType.simpleString()
-    base = df.select(F.col(key).alias("k"), F.col(text).alias("t")).filter(F.col("t").isNotNull())
 
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [(k, a + 1, n) for k, t in zip(pdf["k"], pdf["t"], strict=True) for a, n in split(t, max(chunk, len(t)))]
-            yield pd.DataFrame(rows, columns=[key, "sent_start", "sent_len"]).astype({"sent_start": "int32", "sent_len": "int32"})
+_FN = "struct<q:array<int>,a:int,b:int>"
+_VARIANTS = f"array<struct<key:int,f:{_FN},fs:array<{_FN}>,found:array<struct<e:int,b:int,i:int>>>>"
 
-    short = base.filter(F.length("t") <= chunk).mapInPandas(whole, f"`{key}` {kind}, sent_start int, sent_len int")
-    return short.unionByName(_long(base.filter(F.length("t") > chunk), key, kind, chunk))
 
+def sentences(df: DataFrame, key: str, text: str, chunk: int = CHUNK) -> DataFrame:
+    """(key, sent_start, sent_len), positions from 1. df: one row a key.
 
-def _long(base: DataFrame, key: str, kind: str, chunk: int) -> DataFrame:
-    """Texts beyond one chunk: a row a chunk, with its margins."""
-    n = F.ceil(F.length("t") / chunk)
-    cut = base.select("k", "t", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("c"))
-    cut = cut.withColumn("from", F.greatest(F.col("c") * chunk - MARGIN, F.lit(0)))
-    rows = cut.select("k", "c", "from", F.substring("t", (F.col("from") + 1).cast("int"), F.lit(chunk + 2 * MARGIN)).alias("part")).repartition("k", "c")
+    Every text, long or short, is cut once into chunks; what is kept of a chunk are its function and its possible boundaries, so no text
+    travels. A text's functions, a few numbers each, are scanned together; chunks then find their boundaries from their own entry state,
+    and only the start of the sentence that is open at a chunk's edge is carried over it.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    base = df.select(F.col(key).alias("k"), F.col(text).alias("t")).filter(F.col("t").isNotNull())
 
-    def functions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [chunk_function(events(p, c * chunk - f, (c + 1) * chunk - f)).tolist() for c, f, p in zip(pdf["c"], pdf["from"], pdf["part"], strict=True)]
-            yield pd.DataFrame({"k": pdf["k"], "c": pdf["c"], "f": out})
+            rows = []
+            for k, s in zip(pdf["k"], pdf["t"], strict=True):
+                at = cuts(s, chunk)
+                for c, (a, b) in enumerate(zip(at, [*at[1:], len(s)], strict=True)):
+                    left = max(0, a - MARGIN)
+                    rows.append((k, c, left, a - left, b - left, b == len(s), s[left : b + MARGIN]))
+            yield pd.DataFrame(rows, columns=["k", "c", "at", "a", "b", "final", "part"])
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:  # 18 numbers a chunk of one text
-        pdf = pdf.sort_values("c")
-        done = compose([np.array(f, dtype=np.int8) for f in pdf["f"]])
-        return pd.DataFrame({"k": pdf["k"], "c": pdf["c"], "state": [0, *(int(f[0]) for f in done[:-1])]})
+    # a chunk with its margins is a row: those of a long text are dealt over all tasks
+    parts = base.mapInPandas(cut, f"k {kind}, c int, at int, a int, b int, final boolean, part string").repartition(parallelism(df.sparkSession), "k", "c")
 
-    states = rows.mapInPandas(functions, f"k {kind}, c long, f array<int>").groupBy("k").applyInPandas(scan, f"k {kind}, c long, state int")
+    def fn(f: Function) -> dict:
+        return {"q": f[0], "a": f[1], "b": f[2]}
 
-    def boundaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for k, c, f, p, st in zip(pdf["k"], pdf["c"], pdf["from"], pdf["part"], pdf["state"], strict=True):
-                at = c * chunk - f
-                cuts = emit(events(p, at, at + chunk), st)
-                # what ends and begins in this chunk; a sentence that reaches over its edge is joined by the window below
-                out += [(k, int(f + a), int(f + b)) for a, b in cuts]
-            yield pd.DataFrame(out, columns=["k", "a", "b"])
-
-    cuts = rows.join(states, ["k", "c"]).mapInPandas(boundaries, f"k {kind}, a long, b long")
-    ends = base.select("k", F.length("t").cast("long").alias("a"), F.length("t").cast("long").alias("b"))
-    order = W.partitionBy("k").orderBy("a", "b")
-    pieces = cuts.unionByName(ends).withColumn("s", F.coalesce(F.lag("b").over(order), F.lit(0)))
-    got = pieces.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("s", "a"))).alias("p")).join(base, "k")
-
-    def trim(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            rows = []
+            for k, c, at, a, b, final, s in pdf.itertuples(index=False, name=None):
+                matter, vs = variants(s, a, b)
+                vs = [{"key": v[0], "f": fn(v[1]), "fs": [fn(f) for f in v[2]], "found": [{"e": at + e, "b": at + n, "i": i} for e, n, i in v[3]]} for v in vs]
+                lead, full = len(s) - len(s.lstrip()) if c == 0 else None, at + len(s[:b].rstrip()) if final else None
+                rows.append((k, c, *summary(s, a, b), matter, vs, lead, full))
+            yield pd.DataFrame(rows, columns=["k", "c", "ends_line", "mask", "matter", "vs", "lead", "full"]).astype({"lead": "Int32", "full": "Int32"})
+
+    pieces = checkpoint(parts.mapInPandas(read, f"k {kind}, c int, ends_line boolean, mask int, matter int, vs {_VARIANTS}, lead int, full int"))
+    # a text has at most 2^31 characters, so its functions are a row of some megabytes at most
+    narrow = F.transform("vs", lambda v: F.struct(v["key"].alias("key"), v["f"]["q"].alias("q"), v["f"]["a"].alias("a"), v["f"]["b"].alias("b")))
+    gathered = pieces.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("c", "ends_line", "mask", "matter", narrow.alias("fs")))).alias("x"))
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for k, ps, t in zip(pdf["k"], pdf["p"], pdf["t"], strict=True):
-                for x in ps:
-                    part = t[x["s"] : x["a"]]
-                    core = part.strip()
-                    if core:
-                        out.append((k, x["s"] + len(part) - len(part.lstrip()) + 1, len(core)))
-            yield pd.DataFrame(out, columns=[key, "sent_start", "sent_len"]).astype({"sent_start": "int32", "sent_len": "int32"})
-
-    return got.select("k", "p", "t").mapInPandas(trim, f"`{key}` {kind}, sent_start int, sent_len int")
-
-
-def sentence_at(spans_: list[tuple[int, int]], pos: int) -> int:
-    """Index of the sentence that holds a position."""
-    return bisect_right([a for a, _ in spans_], pos) - 1
+            rows = [(i, k, x) for i, (k, xs) in enumerate(zip(pdf["k"], pdf["x"], strict=True)) for x in xs]
+            entry = _enter([(i, x["ends_line"], x["mask"], x["matter"], [(v["key"], v["q"], v["a"], v["b"]) for v in x["fs"]]) for i, _, x in rows]) if rows else []
+            yield pd.DataFrame([(k, x["c"], *e) for (_, k, x), e in zip(rows, entry, strict=True)], columns=["k", "c", "key", "quote", "depth"])
+
+    states = gathered.mapInPandas(scan, f"k {kind}, c int, key int, quote int, depth int")
+    met = pieces.join(states, ["k", "c"])
+    v = F.get(F.filter("vs", lambda x: x["key"] == F.col("key")), F.lit(0))
+    outside = F.transform("v.fs", lambda f: (F.get(f["q"], F.col("quote")) == 0) & (F.greatest(F.col("depth") + f["a"], f["b"]) == 0))
+    met = met.withColumn("v", v).withColumn("outside", outside)
+    ends = F.transform(F.filter("v.found", lambda x: F.get(F.col("outside"), x["i"])), lambda x: F.struct(x["e"].alias("e"), x["b"].alias("b")))
+    last = F.filter(F.array(F.struct(F.col("full").alias("e"), F.col("full").alias("b"))), lambda x: x["e"].isNotNull())
+    met = met.select("k", "c", "lead", F.concat(ends, last).alias("ends"))
+    before = W.partitionBy("k").orderBy("c").rowsBetween(W.unboundedPreceding, -1)
+    open_at = F.greatest(F.coalesce(F.max(F.array_max(F.transform("ends", lambda x: x["b"]))).over(before), F.lit(0)), F.coalesce(F.max("lead").over(W.partitionBy("k")), F.lit(0)))
+    met = met.withColumn("open", open_at)
+    # a sentence begins where the boundary before it says; starts never go back
+    starts = F.concat(F.array("open"), F.transform("ends", lambda x: F.greatest(x["b"], F.col("open"))))
+    found = F.transform("ends", lambda x, i: F.struct(F.get(starts, i).alias("s"), x["e"].alias("e")))
+    found = F.filter(found, lambda x: x["e"] > x["s"])
+    return met.select(F.col("k").alias(key), F.inline(found)).select(key, (F.col("s") + 1).alias("sent_start"), (F.col("e") - F.col("s")).alias("sent_len"))

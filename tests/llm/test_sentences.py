@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -63,21 +64,66 @@ def test_any_chunking_is_the_same(text, chunk):
     assert all(i in covered for i, c in enumerate(text) if not c.isspace())
 
 
-def test_scan_is_associative():
-    evs = [SE.events(t) for t in ("a (b", '"c. d', 'e" f) g.', "h\n")]
-    fs = [SE.chunk_function(e) for e in evs]
-    state, chain = 0, []
-    for f in fs:
-        state = int(f[state])
-        chain.append(state)
-    assert [int(f[0]) for f in SE.compose(fs)] == chain
-
-
-def test_long_texts_in_spark(spark):
+FN = st.tuples(st.tuples(*[st.integers(0, SE.KINDS - 1)] * SE.KINDS), st.integers(-3, 3) | st.just(SE.FAR), st.integers(0, 3))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(FN, max_size=9), max_size=4))
+def test_the_scan_is_the_chain(texts):
+    rows = [(i, f) for i, fs in enumerate(texts) for f in fs]
+    want = []
+    for fs in texts:
+        q, d = 0, 0
+        for g, a, b in fs:
+            want.append((q, d))
+            q, d = g[q], max(d + a, b)
+    q, d = SE.compose(np.array([f[0] for _, f in rows], dtype=np.int64).reshape(-1, SE.KINDS), np.array([f[1] for _, f in rows], dtype=np.int64), np.array([f[2] for _, f in rows], dtype=np.int64), np.array([i for i, _ in rows]))
+    assert list(zip(q.tolist(), d.tolist(), strict=True)) == want
+
+
+@settings(max_examples=100, deadline=None)
+@given(FN, FN, FN)
+def test_functions_are_associative(f, g, h):
+    def run(x):
+        return [(x[0][q], max(d + x[1], x[2])) for q in range(SE.KINDS) for d in range(9)]
+
+    assert run(SE.then(SE.then(f, g), h)) == run(SE.then(f, SE.then(g, h)))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.booleans(), st.integers(0, 7)), max_size=9), max_size=4))
+def test_closers_ahead(texts):
+    rows = [(i, *x) for i, xs in enumerate(texts) for x in xs]
+    want = []
+    for xs in texts:
+        for i in range(len(xs)):
+            got = 0
+            for stop, bits in xs[i + 1 :]:
+                got |= bits
+                if stop:
+                    break
+            want.append(got)
+    assert SE.closers_ahead(np.array([r[1] for r in rows], dtype=bool), np.array([r[2] for r in rows], dtype=np.int64), np.array([r[0] for r in rows])).tolist() == want
+
+
+def test_quotations_and_brackets_of_any_size():
+    inner = "He came back. Nobody told us. " * 80
+    text = f'One said, "{inner}So it was." and left. Then it ended.'
+    assert len(text) > 2_000
+    assert [text[a : a + n] for a, n in SE.split(text, 64)] == [text[: text.index(" Then")], "Then it ended."]
+    deep = "It was (two (three. Four (five. Six (seven. Eight (nine. Ten) x) x) x) seven. Y) here. Next."
+    assert [deep[a : a + n] for a, n in SE.split(deep)] == [deep[:-6], "Next."]
+    cut = f'One said, "{inner}and left. Then it ended.'  # never closed: every stop counts
+    assert len(SE.split(cut, 100)) == len(SE.split(cut)) > 160
+
+
+@pytest.mark.parametrize("chunk", [64, 1000, 10**6])
+def test_texts_in_spark(spark, chunk):
     long = 'It was seen. "It came. Back." was said (no. 5). ' * 200
-    df = spark.createDataFrame([("1", long, 0), ("2", "Short. Text.", 0), ("3", None, 0), ("4", "", 0)], "k string, t string, sent_len int")
+    quoted = f'One said, "{long.replace(chr(34), "")}" and left.\nThen (it. Ended). Now'
+    df = spark.createDataFrame([("1", long, 0), ("2", "Short. Text.", 0), ("3", None, 0), ("4", "", 0), ("5", quoted, 1), ("6", "  \n ", 1), ("7", " a. b) B. ", 1)], "k string, t string, sent_len int")
     got = {}
-    for r in SE.sentences(df, "k", "t", chunk=1000).collect():
+    for r in SE.sentences(df, "k", "t", chunk).collect():
         got.setdefault(r["k"], set()).add((r["sent_start"] - 1, r["sent_len"]))
-    assert got == {"1": set(SE.split(long)), "2": {(0, 6), (7, 5)}}
-    assert SE.sentences(df.limit(0), "k", "t").count() == 0
+    assert got == {"1": set(SE.split(long)), "2": {(0, 6), (7, 5)}, "5": set(SE.split(quoted)), "7": set(SE.split(" a. b) B. "))}
+    assert SE.sentences(df.limit(0), "k", "t", chunk).count() == 0
