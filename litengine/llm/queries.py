@@ -126,7 +126,8 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     from litengine.llm import sentences as SE
 
     arts = table(spark, d, "articles").filter("pmid is not null and abstract is not null").select("pmid", "abstract")
-    return SE.sentences(arts.groupBy("pmid").agg(F.max("abstract").alias("abstract")), "pmid", "abstract", chunk=512)
+    once = arts.groupBy("pmid").agg(F.max("abstract").alias("abstract"))
+    return SE.sentences(once, "pmid", "abstract", chunk=512, learned=SE.learn_abbreviations(once, "abstract"))
 
 
 @query()

@@ -30,7 +30,8 @@ from litengine.runtime import checkpoint, parallelism
 
 CHUNK, MARGIN = 4_096, 200
 
-# Abbreviations after which a sentence goes on, in lower case, of all languages together.
+# Common abbreviations after which a sentence goes on, in lower case, of all languages together. learn_abbreviations() adds
+# those of a corpus.
 NEVER = frozenset(
     """dr dra prof mr mrs ms mt st sgt lt gen rev hon sra mme mlle pr fig figs tab tabs tabl abb sect sec ref refs ex chr no nos nr núm num vol vols p pp v ver
     cf vgl vs viz eg ie i.e e.g esp approx aprox ca env est incl excl fam suppl univ hosp dept ed eds max máx min resp bzw z.b z u d h med dipl ing ej
@@ -68,7 +69,7 @@ def _starts_sentence(s: str, i: int) -> bool:
     return c.isupper() or bool(_VARIANT.match(s, i)) or bool(_SUBJECT.match(s, i))
 
 
-def _can_end(s: str, a: int, stop: str, b: int) -> bool:
+def _can_end(s: str, a: int, stop: str, b: int, never: frozenset[str] = NEVER) -> bool:
     """Whether the stop at a, whose marks and closers end at b, can end a sentence, outside quotes and brackets."""
     marks = stop[: len(stop) - len(stop.lstrip(".!?…。！？．।॥؟۔"))]
     closers = stop[len(marks) :]
@@ -90,7 +91,7 @@ def _can_end(s: str, a: int, stop: str, b: int) -> bool:
         return False
     if last in "!?؟":
         return spaced and (not quoted or not (nxt.islower() and not _VARIANT.match(s, i)) and not _caseless(nxt))
-    word = _BEFORE.search(s, max(0, a - 100), a).group()
+    word = _BEFORE.search(s, max(0, a - 60), a).group()
     head, dot, tail = word.rpartition(".")
     if dot and len(tail) > 1 and len(head.rpartition(".")[2]) > 2:  # the word before ended with a stop that has no blank after it
         word = tail
@@ -99,7 +100,7 @@ def _can_end(s: str, a: int, stop: str, b: int) -> bool:
     if not spaced:  # a stop without a blank after it
         if len(word) < 2 or not (word[-1].islower() or word[-1].isdigit() or s[a - 1] in ")]%" or closers):
             return s[a - 1 : a] in ")]" and bool(re.match(r"[A-Z][a-z]|[A-Z]{3}", s[i : i + 3]))
-        if word.lower() in NEVER or re.fullmatch(r"[cgmnp]|\w(?:\.\w)+", word):
+        if word.lower() in never or re.fullmatch(r"[cgmnp]|\w(?:\.\w)+", word):
             return False
         return bool(re.match(r"[A-ZÀ-ÞА-Я][a-zß-ÿа-я]|[A-Z] [a-z]|[A-Z]{3}|[cp]\.[\d(A-Z]", s[i : i + 4])) and (word[-1].isdigit() or len(word) > 2 or bool(closers))
     if quoted:
@@ -111,7 +112,7 @@ def _can_end(s: str, a: int, stop: str, b: int) -> bool:
     low = word.lower().lstrip("'’")
     if low == "г":  # a year, or a town before its name
         return _starts_sentence(s, i) and s[a - 3 : a - 2].isdigit()
-    if low in NEVER or (len(word) == 1 and word.isalpha() and s[a - 2 : a - 1] != "/"):
+    if low in never or (len(word) == 1 and word.isalpha() and s[a - 2 : a - 1] != "/"):
         return False
     if low == "sr" and re.match(r"[A-Z]\w+ (?:y|dijo|fue|tiene)\b", s[i : i + 40]):
         return False
@@ -175,7 +176,7 @@ def then(f: Function, g: Function) -> Function:
     return tuple(g[0][q] for q in f[0]), max(f[1] + g[1], FAR), max(f[2] + g[1], g[2])
 
 
-def events(s: str, start: int, end: int, ahead: int) -> Iterator[tuple[Function, int, int, bool, int]]:
+def events(s: str, start: int, end: int, ahead: int, never: frozenset[str] = NEVER) -> Iterator[tuple[Function, int, int, bool, int]]:
     """(function, where the sentence ends, where the next begins, can be a boundary, closers that would change the function) of the events
     that begin in [start, end). ahead: the closers that stand after `end` in the line that is open there."""
     closers: list[tuple[int, int]] = []  # (place, bit; 0 a line end), to know what is ahead of an opener
@@ -201,7 +202,7 @@ def events(s: str, start: int, end: int, ahead: int) -> Iterator[tuple[Function,
             for c in m.group():
                 if c in TABLE and c not in "[]":
                     move = then(move, TABLE[c])
-            yield move, b, b, _can_end(s, a, m.group(), b), 0
+            yield move, b, b, _can_end(s, a, m.group(), b, never), 0
         elif kind == "mark":
             c = s[a]
             if c not in _MATES:
@@ -242,12 +243,13 @@ def summary(s: str, start: int, end: int) -> tuple[bool, int]:
     return m is not None, sum({_CLOSERS[x.group()] for x in _AHEAD.finditer(s, start, stop)})
 
 
-def variant(s: str, start: int, end: int, ahead: int) -> tuple[Function, list[Function], list[tuple[int, int, int]], int]:
+def variant(s: str, start: int, end: int, ahead: int, never: frozenset[str] = NEVER) -> tuple[Function, list[Function], list[tuple[int, int, int]], int]:
     """(the chunk's function, functions up to its possible boundaries, (trimmed end, next start, number of that function) of these, closers
     further on that matter)"""
     f, matter, at, found = IDENTITY, 0, {}, []
-    for move, a, b, possible, wants in events(s, start, end, ahead):
-        f = then(f, move)
+    for move, a, b, possible, wants in events(s, start, end, ahead, never):
+        if move is not IDENTITY:
+            f = then(f, move)
         matter |= wants
         if possible:
             e = a
@@ -259,14 +261,14 @@ def variant(s: str, start: int, end: int, ahead: int) -> tuple[Function, list[Fu
     return f, list(at), found, matter
 
 
-def variants(s: str, start: int, end: int) -> tuple[int, list[tuple[int, Function, list[Function], list[tuple[int, int, int]]]]]:
+def variants(s: str, start: int, end: int, never: frozenset[str] = NEVER) -> tuple[int, list[tuple[int, Function, list[Function], list[tuple[int, int, int]]]]]:
     """(closers ahead that matter, a variant for each combination of them). There is one, unless an opener near the end awaits its mate."""
-    f, fs, found, matter = variant(s, start, end, 0)
+    f, fs, found, matter = variant(s, start, end, 0, never)
     out = [(0, f, fs, found)]
     bits = [b for b in _CLOSERS.values() if b & matter]
     for k in range(1, 1 << len(bits)):
         key = sum(b for i, b in enumerate(bits) if k >> i & 1)
-        out.append((key, *variant(s, start, end, key)[:3]))
+        out.append((key, *variant(s, start, end, key, never)[:3]))
     return matter, out
 
 
@@ -316,10 +318,10 @@ def _enter(chunks: list[tuple[int, bool, int, int, list]]) -> list[tuple[int, in
     return list(zip(keys, quote.tolist(), depth.tolist(), strict=True))
 
 
-def split(s: str, chunk: int = CHUNK) -> list[tuple[int, int]]:
+def split(s: str, chunk: int = CHUNK, learned: frozenset[str] = frozenset()) -> list[tuple[int, int]]:
     """(start, length) of the sentences of one text; positions from 0. The same for any chunk size."""
-    at = cuts(s, chunk)
-    pieces = [(a, b, *variants(s, a, b)) for a, b in zip(at, [*at[1:], len(s)], strict=True)]
+    at, never = cuts(s, chunk), NEVER | learned
+    pieces = [(a, b, *variants(s, a, b, never)) for a, b in zip(at, [*at[1:], len(s)], strict=True)]
     entry = _enter([(0, *summary(s, a, b), matter, [(k, *f) for k, f, *_ in vs]) for a, b, matter, vs in pieces])
     out, open_at = [], len(s) - len(s.lstrip())
     for (*_, vs), (key, quote, depth) in zip(pieces, entry, strict=True):
@@ -339,14 +341,14 @@ _FN = "struct<q:array<int>,a:int,b:int>"
 _VARIANTS = f"array<struct<key:int,f:{_FN},fs:array<{_FN}>,found:array<struct<e:int,b:int,i:int>>>>"
 
 
-def sentences(df: DataFrame, key: str, text: str, chunk: int = CHUNK) -> DataFrame:
-    """(key, sent_start, sent_len), positions from 1. df: one row a key.
+def sentences(df: DataFrame, key: str, text: str, chunk: int = CHUNK, learned: frozenset[str] = frozenset()) -> DataFrame:
+    """(key, sent_start, sent_len), positions from 1. df: one row a key. learned: see learn_abbreviations().
 
     Every text, long or short, is cut once into chunks; what is kept of a chunk are its function and its possible boundaries, so no text
     travels. A text's functions, a few numbers each, are scanned together; chunks then find their boundaries from their own entry state,
     and only the start of the sentence that is open at a chunk's edge is carried over it.
     """
-    kind = df.schema[key].dataType.simpleString()
+    kind, never = df.schema[key].dataType.simpleString(), NEVER | learned
     base = df.select(F.col(key).alias("k"), F.col(text).alias("t")).filter(F.col("t").isNotNull())
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -369,7 +371,7 @@ def sentences(df: DataFrame, key: str, text: str, chunk: int = CHUNK) -> DataFra
         for pdf in batches:
             rows = []
             for k, c, at, a, b, final, s in pdf.itertuples(index=False, name=None):
-                matter, vs = variants(s, a, b)
+                matter, vs = variants(s, a, b, never)
                 vs = [{"key": v[0], "f": fn(v[1]), "fs": [fn(f) for f in v[2]], "found": [{"e": at + e, "b": at + n, "i": i} for e, n, i in v[3]]} for v in vs]
                 lead, full = len(s) - len(s.lstrip()) if c == 0 else None, at + len(s[:b].rstrip()) if final else None
                 rows.append((k, c, *summary(s, a, b), matter, vs, lead, full))
@@ -402,3 +404,25 @@ def sentences(df: DataFrame, key: str, text: str, chunk: int = CHUNK) -> DataFra
     found = F.transform("ends", lambda x, i: F.struct(F.get(starts, i).alias("s"), x["e"].alias("e")))
     found = F.filter(found, lambda x: x["e"] > x["s"])
     return met.select(F.col("k").alias(key), F.inline(found)).select(key, (F.col("s") + 1).alias("sent_start"), (F.col("e") - F.col("s")).alias("sent_len"))
+
+
+# --- abbreviations of a corpus ------------------------------------------------------------------
+
+#: An abbreviation is written with its stop at least OFTEN times, in WITH_STOP of all its places, and goes on in lower case in GOES_ON of those.
+OFTEN, WITH_STOP, GOES_ON, LONGEST = 10, 0.9, 0.9, 6
+MOST_LEARNED = 100_000
+
+
+def learn_abbreviations(df: DataFrame, text: str, often: int = OFTEN) -> frozenset[str]:
+    """Words that stand before a stop in the midst of sentences, from counts over all texts: how often a word is written with a stop, how often
+    without, and how often a small letter, or a figure, follows the stop. One aggregate over short words; what comes back are the abbreviations alone."""
+    words = F.split(F.col(text), r"\s+")
+    pairs = F.transform(words, lambda w, i: F.struct(F.lower(F.regexp_replace(w, r"^[(\[\"'\u201c\u201e\u00ab]+|[,;:]$", "")).alias("w"), F.substring(F.get(words, i + 1), 1, 1).alias("n")))
+    short = df.select(F.inline(F.filter(pairs, lambda x: x["w"].rlike(rf"^\p{{L}}{{2,{LONGEST}}}\.?$"))))
+    stop = F.endswith("w", F.lit("."))
+    on = stop & F.coalesce(F.col("n").rlike(r"[\p{Ll}\d]"), F.lit(False))
+    counts = short.groupBy(F.regexp_replace("w", r"\.$", "").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.count_if(stop).alias("stop"), F.count_if(on).alias("on"))
+    found = counts.filter((F.col("stop") >= often) & (F.col("stop") >= WITH_STOP * F.col("n")) & (F.col("on") >= GOES_ON * F.col("stop"))).select("w").limit(MOST_LEARNED + 1).collect()
+    if len(found) > MOST_LEARNED:
+        raise ValueError(f"more than {MOST_LEARNED} abbreviations: the texts are no sentences")
+    return frozenset(r["w"] for r in found) - MAYBE - UNITS  # of these it is known that they may end a sentence

@@ -127,3 +127,16 @@ def test_texts_in_spark(spark, chunk):
         got.setdefault(r["k"], set()).add((r["sent_start"] - 1, r["sent_len"]))
     assert got == {"1": set(SE.split(long)), "2": {(0, 6), (7, 5)}, "5": set(SE.split(quoted)), "7": set(SE.split(" a. b) B. "))}
     assert SE.sentences(df.limit(0), "k", "t", chunk).count() == 0
+
+
+def test_abbreviations_of_a_corpus(spark):
+    rows = [("It was seen on the blvd. near us (zob. rys. 4).",)] * 12 + [("We went home. then we left the home for the sea.",)] * 12 + [("He is at sea. The sea.",)] * 12 + [(None,), ("",)]
+    df = spark.createDataFrame(rows, "t string")
+    learned = SE.learn_abbreviations(df, "t")
+    assert {"blvd", "zob", "rys"} == learned
+    assert SE.learn_abbreviations(df, "t", often=13) == frozenset()
+    text = "See Blvd. Osk and Zob. Velm there. Next."
+    assert len(SE.split(text)) > 2
+    assert [text[a : a + n] for a, n in SE.split(text, learned=learned)] == ["See Blvd. Osk and Zob. Velm there.", "Next."]
+    keyed = spark.createDataFrame([("1", text)], "k string, t string")
+    assert SE.sentences(keyed, "k", "t", 8, learned).count() == 2
