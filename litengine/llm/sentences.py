@@ -411,17 +411,30 @@ def sentences(df: DataFrame, key: str, text: str, chunk: int = CHUNK, learned: f
 #: An abbreviation is written with its stop at least OFTEN times, in WITH_STOP of all its places, and goes on in lower case in GOES_ON of those.
 OFTEN, WITH_STOP, GOES_ON, LONGEST = 10, 0.9, 0.9, 6
 MOST_LEARNED = 100_000
+_SHORT = re.compile(rf"(?:(?<=[\s(\[\"'\u201c\u201e\u00ab])|^)([^\W\d_]{{2,{LONGEST}}})(\.?)(?:[,;:]|)(?=\s+(\S))")
 
 
 def learn_abbreviations(df: DataFrame, text: str, often: int = OFTEN) -> frozenset[str]:
     """Words that stand before a stop in the midst of sentences, from counts over all texts: how often a word is written with a stop, how often
     without, and how often a small letter, or a figure, follows the stop. One aggregate over short words; what comes back are the abbreviations alone."""
-    words = F.split(F.col(text), r"\s+")
-    pairs = F.transform(words, lambda w, i: F.struct(F.lower(F.regexp_replace(w, r"^[(\[\"'\u201c\u201e\u00ab]+|[,;:]$", "")).alias("w"), F.substring(F.get(words, i + 1), 1, 1).alias("n")))
-    short = df.select(F.inline(F.filter(pairs, lambda x: x["w"].rlike(rf"^\p{{L}}{{2,{LONGEST}}}\.?$"))))
-    stop = F.endswith("w", F.lit("."))
-    on = stop & F.coalesce(F.col("n").rlike(r"[\p{Ll}\d]"), F.lit(False))
-    counts = short.groupBy(F.regexp_replace("w", r"\.$", "").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.count_if(stop).alias("stop"), F.count_if(on).alias("on"))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[str, list[int]] = {}
+        for pdf in batches:
+            for t in pdf["t"]:
+                for word, stop, follows in _SHORT.findall(t):
+                    n = seen.setdefault(word.lower(), [0, 0, 0])
+                    n[0] += 1
+                    if stop:
+                        n[1] += 1
+                        n[2] += follows.islower() or follows.isdigit()
+            if len(seen) > 1_000_000:  # counts are summed below, so a task may send what it has at any time
+                yield pd.DataFrame([(w, *n) for w, n in seen.items()], columns=["w", "n", "stop", "on"])
+                seen = {}
+        yield pd.DataFrame([(w, *n) for w, n in seen.items()], columns=["w", "n", "stop", "on"])
+
+    texts = df.select(F.col(text).alias("t")).filter(F.col("t").isNotNull())
+    counts = texts.mapInPandas(count, "w string, n long, stop long, on long").groupBy("w").agg(*(F.sum(c).alias(c) for c in ("n", "stop", "on")))
     found = counts.filter((F.col("stop") >= often) & (F.col("stop") >= WITH_STOP * F.col("n")) & (F.col("on") >= GOES_ON * F.col("stop"))).select("w").limit(MOST_LEARNED + 1).collect()
     if len(found) > MOST_LEARNED:
         raise ValueError(f"more than {MOST_LEARNED} abbreviations: the texts are no sentences")
