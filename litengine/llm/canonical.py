@@ -9,13 +9,14 @@ Token-level repair with soft TF-IDF, as joins:
    when one character is dropped, so that the join is an equi-join, and each pair is verified (one insertion, deletion,
    substitution or swap of neighbours; digits never change: they tell members of a family apart).
 3. A view's corrected tokens are combined with soft TF-IDF against the complete names that share its rarest corrected token. Every
-   token of the view and of the name has to be matched; the best score wins.
+   token of the view has to be matched, and every token of the name; of a name of LONG_NAME words or more one word without a figure may
+   be missing, if what is left has PARTIAL of the name's weight and no other entry comes within MARGIN. The best score wins.
 
-A view must match a name completely, so blocking on the rarest token loses nothing. The work is done for distinct values only;
+The rarest token of a view is in every name it can match, so blocking on it loses nothing. The work is done for distinct values only;
 the way back to the entries is a join salted against values that hold a large part of all rows.
 
 Defined cases: null and blank values are no entries; a value equal to a canonical name is left out where `skip_exact` asks so;
-empty lists and tables give no rows; a value far longer than any name names none; at equal scores a symbol goes before a synonym
+empty lists and tables give no rows; a value with a part of more words than any name is text and names none; at equal scores a symbol goes before a synonym
 and that before a full name, then the smaller id.
 """
 
@@ -30,8 +31,8 @@ from litengine.runtime import checkpoint
 SALTS = 16
 #: Least soft TF-IDF score of a match. One edit in a three-letter token scores 0.67.
 LEAST_SCORE = 0.6
-#: Characters an entry may have beyond the longest name: affixes and a second name.
-SLACK = 60
+#: A name that one word may be missing from, the share of its weight that must be left, and the lead over every other entry.
+LONG_NAME, PARTIAL, MARGIN = 4, 0.7, 0.15
 
 # Letters of other scripts that look like Latin ones, and what they look like.
 LOOK_ALIKES = "АВЕКМНОРСТУХІЈЅаеорсухіјѕΑΒΕΖΗΙΚΜΝΟΡΤΥΧο"
@@ -133,10 +134,11 @@ def repair(tokens: DataFrame, idf: DataFrame) -> DataFrame:
     return pairs.filter(exact | (F.least(F.length("token"), F.length("vt")) >= 3)).withColumn("sim", sim)
 
 
-def views(values: DataFrame, longest: int, most_words: int) -> DataFrame:
+def views(values: DataFrame, most_words: int) -> DataFrame:
     """(value, view, tokens) of the distinct values."""
-    base = values.withColumn("f", folded(F.col("value"))).filter(F.length("f") <= longest + SLACK)
-    whole, parts = F.array(F.col("f")), F.split(F.col("f"), r"[()\[\]{}/]")
+    base = values.withColumn("f", folded(F.col("value"))).withColumn("parts", F.split(F.col("f"), r"[()\[\]{}/]"))
+    base = base.filter(~F.exists("parts", lambda p: F.size(words(without_affixes(p))) > most_words))
+    whole, parts = F.array(F.col("f")), F.col("parts")
     texts = F.transform(F.concat(whole, F.when(F.size(parts) > 1, parts).otherwise(F.array().cast("array<string>"))), lambda p: without_affixes(p))
     texts = F.array_distinct(F.filter(F.concat(texts, whole), lambda p: p != ""))
     shapes = F.transform(texts, lambda p: F.array(F.array(joined(p)), words(p), F.array(joined(unroman(p))), F.array(joined(ungreek(p)))))
@@ -149,7 +151,7 @@ def match_values(values: DataFrame, names: DataFrame, least_score: float = LEAST
     longest, most_words, n = names.agg(F.coalesce(F.max(F.length(F.array_join("tokens", " "))), F.lit(0)), F.coalesce(F.max(F.size("tokens")), F.lit(0)), F.count(F.lit(1))).first()
     names = checkpoint(names)  # a small table that the plan reads in several places
     idf, with_idf = weighted(names, n)
-    v = views(values, longest, most_words)
+    v = views(values, most_words)
     tokens = checkpoint(v.select("value", "view", F.size("tokens").alias("n"), F.posexplode("tokens").alias("at", "token")))  # read twice
     fixed = repair(tokens.filter(F.length("token") <= longest + 1).select("token").distinct(), idf)
     by_view = tokens.join(fixed, "token").groupBy("value", "view", "n").agg(F.collect_list(F.struct("at", "token", "vt", "sim", "df")).alias("c"))
@@ -158,18 +160,24 @@ def match_values(values: DataFrame, names: DataFrame, least_score: float = LEAST
     rarest = F.array_min(F.transform("c", lambda x: F.struct(x["df"].alias("df"), x["at"].alias("at"))))["at"]
     keyed = complete.withColumn("r", rarest).select("value", "view", "n", "c", F.explode(F.array_distinct(F.transform(F.filter("c", lambda x: x["at"] == F.col("r")), lambda x: x["vt"]))).alias("key"))
     postings = with_idf.select("term_id", "rank", "tokens", "w", F.explode(F.array_distinct("tokens")).alias("key"))
-    pairs = keyed.join(postings, "key").filter(F.col("n") == F.size("tokens"))
+    short = F.size("tokens") - F.col("n")
+    pairs = keyed.join(postings, "key").filter((short == 0) | ((short == 1) & (F.size("tokens") >= LONG_NAME)))
 
     def best(t: Column) -> Column:
         return F.coalesce(F.array_max(F.transform(F.filter("c", lambda x: x["vt"] == t), lambda x: x["sim"])), F.lit(0.0))
 
-    pairs = pairs.withColumn("s", F.transform("tokens", lambda t: F.struct(best(t).alias("sim"), F.element_at("w", t).alias("w"))))
-    pairs = pairs.filter(~F.exists("s", lambda x: x["sim"] == 0)).filter(F.forall(F.array_distinct(F.transform("c", lambda x: x["at"])), lambda i: F.exists("c", lambda x: (x["at"] == i) & F.array_contains("tokens", x["vt"]))))
+    pairs = pairs.withColumn("s", F.transform("tokens", lambda t: F.struct(best(t).alias("sim"), F.element_at("w", t).alias("w"), t.rlike("[0-9]").alias("figure"))))
+    unmet = F.filter("s", lambda x: x["sim"] == 0)
+    pairs = pairs.filter((F.size(unmet) == short) & ~F.exists(unmet, lambda x: x["figure"])).filter(F.forall(F.array_distinct(F.transform("c", lambda x: x["at"])), lambda i: F.exists("c", lambda x: (x["at"] == i) & F.array_contains("tokens", x["vt"]))))
     norm = F.aggregate("s", F.lit(0.0), lambda a, x: a + x["w"] * x["w"])
     score = F.aggregate("s", F.lit(0.0), lambda a, x: a + x["sim"] * x["w"] * x["w"]) / norm
-    pairs = pairs.withColumn("score", score).filter(F.col("score") >= least_score)
-    top = F.max(F.struct(F.round("score", 9).alias("score"), (-F.col("rank")).alias("r"), (-F.col("term_id")).alias("t")))
-    return pairs.groupBy("value").agg(top.alias("b")).select("value", (-F.col("b.t")).alias("term_id"), F.col("b.score").alias("score"))
+    pairs = pairs.withColumn("score", F.round(score, 9)).filter(F.col("score") >= F.when(short > 0, PARTIAL).otherwise(least_score))
+    # for each value and entry its best name, then the best entry; where that lacks a word, the runner-up has to be well behind
+    each = pairs.groupBy("value", "term_id").agg(F.max(F.struct("score", (-F.col("rank")).alias("r"), (short == 0).alias("whole"))).alias("b"))
+    top = F.max(F.struct(F.col("b.score").alias("score"), F.col("b.r").alias("r"), (-F.col("term_id")).alias("t"), F.col("b.whole").alias("whole")))
+    out = each.groupBy("value").agg(top.alias("b"), F.sort_array(F.collect_list("b.score"), asc=False).alias("all"))
+    clear = F.col("b.whole") | (F.col("b.score") - F.coalesce(F.get("all", F.lit(1)), F.lit(0.0)) >= MARGIN)
+    return out.filter(clear).select("value", (-F.col("b.t")).alias("term_id"), F.col("b.score").alias("score"))
 
 
 def map_entries(entries: DataFrame, names: DataFrame, exact: DataFrame | None = None, least_score: float = LEAST_SCORE) -> DataFrame:
