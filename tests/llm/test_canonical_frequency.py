@@ -27,7 +27,7 @@ WRITTEN = {
     "abcd3": 1, "ABCD-3": 1, "ABCD_3 ": 1, "ABCD 3": 1, "AB​CD3": 1, "АВCD3": 1, "ＡＢＣＤ３": 1, '"ABCD3"': 1, "ABCD3.": 1, "ABCD3 mRNA": 1, "anti-ABCD3": 1, "hABCD3": 1, "human ABCD3": 1, "ΔABCD3": 1,
     "ABCD3(+)": 1, "ABCD3-201": 1, "ABCD-III": 1, "ACBD3": 1, "ABD3": 1, "ABCCD3": 1, "uvryg": 1, "UVRYG (ABCD3)": 1, "UVRYG/ABCD3": 1, "Zikelin Receptor Subunit 3": 1, "zikelin-receptor-subunit-3": 1,
     "zikelin receptor subunit 4 (human)": 2, "zikelim receptor subunit 4": 2, "zikelin receptor subunit 4 [ABCD4]": 2, "WXYZ-1-beta": 3, "WXYZ1β": 3, "zobsn 1": 3, "QXGI1": 5, "QXGI-1 gene": 5,
-    "gopelin binding 1": 5, "gopelin bindin 1": 0, "receptor subunit 3": 0, "UVRYG " + "[ABCD3] " * 40: 1, "zikelin receptor subunit 3 " + "(human) " * 40: 1,
+    "gopelin binding 1": 5, "gopelin bindin 1": 0, "receptor subunit 3": 1, "UVRYG " + "[ABCD3] " * 40: 1, "zikelin receptor subunit 3 " + "(human) " * 40: 1,
     "ABCD9": 0, "zikelin receptor subunit": 0, "zikelin receptor subunit 9": 0, "receptor": 0, "3": 0, "clone E3": 0, "KX-33": 0, "?": 0, "ABCD3, copied from the supplementary sheet, the band described above, and more of it than any name": 0,
 }
 
