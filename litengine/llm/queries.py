@@ -117,7 +117,8 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     from litengine.llm import readability as RD
 
     docs = table(spark, d, "documents")
-    return RD.bands(docs, RD.fit(RD.labelled_texts(docs, table(spark, d, "reading_labels"))))
+    language = RD.fit_language(RD.sample_texts(docs))
+    return RD.bands(docs, RD.fit(RD.labelled_texts(docs, table(spark, d, "reading_labels")), language))
 
 
 @query()

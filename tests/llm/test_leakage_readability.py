@@ -194,3 +194,28 @@ def test_capitals_are_counted_over_the_whole_text(text, lower):
     """Every seventh character alone says the opposite of the first three."""
     assert RD.mostly_capitals(text) == lower
     assert RD.raw_tokens(text) == (text.lower() if lower else text).split()
+
+
+GERMAN = ["Die mittlere Dosis lag bei der Gruppe und wurde von den Leuten nicht gut vertragen.", "Das Gewebe wurde mit der Probe auf Veränderungen untersucht.", "Es ist für die Gruppe nicht bekannt."]
+FRENCH = ["Les patients ont été examinés dans une seule clinique par les médecins.", "La dose moyenne est de deux grammes pour le groupe avec une variation.", "Il ne faut pas prendre cette dose sur une longue période."]
+
+
+def test_language_goes_beyond_its_first_words():
+    """The seed words decide nothing in the end: an English text without them is English, a German one with English words strewn in is not."""
+    rng = random.Random(6)
+    language = RD.fit_language([text(k, 8, rng) for k in (EASY, HARD, GERMAN, FRENCH) for _ in range(12)])
+    model = RD.fit([(text(EASY, 8, rng), {1: 1}) for _ in range(8)] + [(text(HARD, 6, rng), {4: 1}) for _ in range(8)], language)
+    bare = "haploinsufficiency necessitates comprehensive immunophenotyping parenchyma constitutive oligomerisation homodimer antagonises compensatory repression. " * 4
+    assert not RD.looks_english(bare.split())
+    strewn = text(GERMAN, 12, rng) + " the of and to in is" * 3
+    got = RD.Scorer(model).bands([bare, strewn, text(FRENCH, 12, rng), text(EASY, 12, rng)])
+    assert got[0] == 4
+    assert got[1:] == [None, None, 1]
+    assert not RD.fit_language([]).any()
+    assert not RD.fit_language([text(GERMAN, 8, rng)]).any()
+
+
+def test_sample_is_the_same_in_every_run(spark):
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(50)] + [(60, None), (None, "x")], "doc_id long, text string")
+    assert RD.sample_texts(docs, 10) == RD.sample_texts(docs.repartition(7), 10)
+    assert len(RD.sample_texts(docs, 10)) == 10
