@@ -48,7 +48,9 @@ _NO_BLANKS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u9fff\
 _WORD = re.compile(rf"\d+(?:[.,]\d+)*|[{_NO_BLANKS}]|[^\W\d_{_NO_BLANKS}]+\d*[^\W\d_{_NO_BLANKS}]?(?:-\d+)?")
 _UNSPACED = re.compile(f"[{_NO_BLANKS}]")
 _GENE = re.compile(r"[A-Z]{3,}\d*[A-Z]?(?:-\d+)?$")
-_CLUSTER = re.compile(r"<[^<>]{1,80}>|[\u200b-\u200f\u2060\ufeff\u00ad]|.[\u0300-\u036f\u3099\u309a]*", re.S)
+#: What is composed with what stands before it: accents, vowel signs that join, Hangul syllables.
+_JOINS = "\u0300-\u036f\u0483-\u0487\u0591-\u05c7\u0610-\u061a\u064b-\u065f\u0670\u06d6-\u06ed\u093c\u09bc\u09be\u09d7\u0b3e\u0b56\u0b57\u0bbe\u0bd7\u0c56\u0cc2\u0cd5\u0cd6\u0d3e\u0d57\u0dca\u0dcf\u0ddf\u102e\u3099\u309a"
+_CLUSTER = re.compile(rf"(?:[\u1100-\u1112][\u1161-\u1175][\u11a8-\u11c2]?|.)[{_JOINS}]*", re.S)
 
 
 def words(text: str) -> list[str]:
@@ -65,18 +67,17 @@ def placed_words(text: str) -> list[tuple[int, int]]:
     plain = text.isascii()
     if plain and "<" not in text:
         return [m.span() for m in _WORD.finditer(text)]
+    gone = [m.span() for m in _TAG.finditer(text)] if not plain or "<" in text else []
+    edges = [0, *(x for g in gone for x in g), len(text)]
+    at = [i for a, b in zip(edges[::2], edges[1::2], strict=True) for i in range(a, b)]  # places of the characters that are left
+    left = "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
     out, starts, ends = [], [], []
-    for m in _CLUSTER.finditer(text):
+    for m in _CLUSTER.finditer(left):
         c = m.group()
-        if len(c) == 1 and c.isascii():
-            new = c
-        elif _TAG.fullmatch(c):
-            continue
-        else:
-            new = unicodedata.normalize("NFKC", c).translate(_DASHES)
+        new = c if plain or (len(c) == 1 and c.isascii()) else unicodedata.normalize("NFKC", c).translate(_DASHES)
         out.append(new)
-        starts += [m.start()] * len(new)
-        ends += [m.end()] * len(new)
+        starts += [at[m.start()]] * len(new)
+        ends += [at[m.end() - 1] + 1] * len(new)
     return [(starts[m.start()], ends[m.end() - 1]) for m in _WORD.finditer("".join(out))]
 
 
@@ -301,7 +302,9 @@ class Finder:
         kept = [(k, share, [r for r in runs if share or r[1] - r[0] >= length]) for k, (share, runs) in found.items()]
         if not any(runs for *_, runs in kept):
             return []
-        at = placed_words(text)
+        at, n = placed_words(text), len(words(text))
+        if len(at) != n:  # characters composed in a way that can't be followed: the span is the text
+            at = [(0, len(text))] * n
         return [(self.ids[k], at[a][0], at[b - 1][1], share) for k, share, runs in kept for a, b in _united(runs)]
 
     def _share(self, k: int, ms: list[tuple[int, int, int]], ws: list[str], low: list[str]) -> tuple[float, list[tuple[int, int]]]:
