@@ -540,7 +540,30 @@ CHILDREN = {
 }
 
 
-@query()
+def _each(relation: str, keep: str, items: str, name: str) -> str:
+    """Rows of `relation` for every element of a list of JSON: kept columns, the element and its ordinal from 0."""
+    return f"(SELECT {keep}, l[i + 1] AS {name}, i AS {name}_pos FROM (SELECT *, unnest(range(len(l))) AS i FROM (SELECT {keep}, {items} AS l FROM {relation})))"
+
+
+def _list_of(node: str) -> str:
+    return f"CASE json_type({node}) WHEN 'ARRAY' THEN CAST({node} AS JSON[]) WHEN 'OBJECT' THEN [{node}] ELSE CAST([] AS JSON[]) END"
+
+
+_CHILD = "SELECT raw_id, '{}' AS child, CAST({} AS INTEGER) AS parent_pos, CAST({} AS INTEGER) AS child_pos, {} AS child_value FROM {} WHERE json_type({}) = 'OBJECT' AND len(json_keys({})) > 0"
+_P3 = f"WITH {_DOC} " + " UNION ALL ".join(
+    _CHILD.format(child, parent, f"{x}_pos", value, relation, x, x)
+    for child, parent, x, value, relation in (
+        ("coordinate", "v_pos", "c", "coalesce(json_extract_string(c, '$.assembly_name'), json_extract_string(c, '$.assembly'), '')",
+         _each(_each("d1", "raw_id", _list_of("vs0"), "v"), "raw_id, v_pos", _list_of("coalesce(json_extract(v, '$.variation_loc'), json_extract(v, '$.coordinates'))"), "c")),
+        ("gene", "0", "x", "coalesce(json_extract_string(x, '$.symbol'), '')", _each("d4", "raw_id", _list_of("ge"), "x")),
+        ("trait", "0", "t", "coalesce(json_extract_string(t, '$.trait_name'), '')", _each("d4", "raw_id", _list_of("tr"), "t")),
+        ("trait_xref", "t_pos", "x", "coalesce(json_extract_string(x, '$.db_source'), json_extract_string(x, '$.db'), '') || ':' || coalesce(json_extract_string(x, '$.db_id'), json_extract_string(x, '$.id'), '')",
+         _each(_each("d4", "raw_id", _list_of("tr"), "t"), "raw_id, t_pos", _list_of("json_extract(t, '$.trait_xrefs')"), "x")),
+    )
+)
+
+
+@query(_P3)
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     rows = NE.shred(table(spark, d, "assertions_nested"), "raw_id", "payload")
     kind = F.element_at(F.create_map(*(F.lit(x) for kv in CHILDREN.items() for x in kv)), F.col("child"))
