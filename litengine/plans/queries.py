@@ -412,7 +412,7 @@ _LISTS = [*RE.BUCKET_KEYS, "pmids"]
 _ITEMS = f"{_RUNS}, items AS (SELECT run_id, bucket, bucket_ord, i - 1 AS pos, l[i] AS item FROM (" + " UNION ALL ".join(
     f"SELECT run_id, '{b}' AS bucket, {i + 1} AS bucket_ord, {b} AS l, unnest(range(1, len({b}) + 1)) AS i FROM runs" for i, b in enumerate(_LISTS)
 ) + ") WHERE l[i] IS NOT NULL)"
-_ASCII = "length(to_json(x)) + 5 * length(regexp_replace(x, '[^\\x{7F}-\\x{FFFF}]', '', 'g')) + 11 * length(regexp_replace(x, '[^\\x{10000}-\\x{10FFFF}]', '', 'g'))"
+ASCII_LENGTH = "length(to_json(x)) + 5 * length(regexp_replace(x, '[^\\x{7F}-\\x{FFFF}]', '', 'g')) + 11 * length(regexp_replace(x, '[^\\x{10000}-\\x{10FFFF}]', '', 'g'))"
 
 
 def _runs(spark: SparkSession, d: str) -> DataFrame:
@@ -424,7 +424,7 @@ def candidate_unpivot(spark: SparkSession, d: str) -> DataFrame:
     return VA.unpivot(_runs(spark, d))
 
 
-@query(f"SELECT doc_id, CAST(greatest(1, length(x) // 4) AS INTEGER) AS tokens, CAST(greatest(1, ({_ASCII}) // 4) + 50 AS INTEGER) AS item_cost, CAST(trunc(greatest(1, length(x) // 4) * 1.1) AS INTEGER) AS listed FROM (SELECT doc_id, text AS x FROM documents)")
+@query(f"SELECT doc_id, CAST(greatest(1, length(x) // 4) AS INTEGER) AS tokens, CAST(greatest(1, ({ASCII_LENGTH}) // 4) + 50 AS INTEGER) AS item_cost, CAST(trunc(greatest(1, length(x) // 4) * 1.1) AS INTEGER) AS listed FROM (SELECT doc_id, text AS x FROM documents)")
 def token_estimate(spark: SparkSession, d: str) -> DataFrame:
     t = TK.estimate(F.length("text"))
     return table(spark, d, "documents").select("doc_id", t.alias("tokens"), TK.item_cost(F.col("text")).alias("item_cost"), TK.list_cost(t).alias("listed"))
@@ -434,7 +434,7 @@ _AVAILABLE = TK.budget(1024, "Pancreatic cancer")
 
 
 @query(f"""WITH RECURSIVE {_ITEMS}, cost AS (SELECT run_id, bucket, pos, item, row_number() OVER (PARTITION BY run_id ORDER BY bucket_ord, pos) AS k,
-  CAST(greatest(1, ({_ASCII}) // 4) + 50 AS INTEGER) AS cost FROM (SELECT *, item AS x FROM items)),
+  CAST(greatest(1, ({ASCII_LENGTH}) // 4) + 50 AS INTEGER) AS cost FROM (SELECT *, item AS x FROM items)),
 walk AS (SELECT run_id, k, 0 AS chunk_id, cost AS used FROM cost WHERE k = 1 UNION ALL
   SELECT c.run_id, c.k, CASE WHEN w.used + c.cost > {_AVAILABLE} AND w.used > 0 THEN w.chunk_id + 1 ELSE w.chunk_id END,
     CASE WHEN w.used + c.cost > {_AVAILABLE} AND w.used > 0 THEN c.cost ELSE w.used + c.cost END FROM walk w JOIN cost c ON c.run_id = w.run_id AND c.k = w.k + 1)
