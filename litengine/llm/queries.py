@@ -11,7 +11,7 @@ from litengine.llm import canonical as CA
 from litengine.llm import frequency as FR
 from litengine.llm import linkage as LK
 from litengine.llm.common import entries, runs_once
-from litengine.plans.queries import trait_grammar
+from litengine.plans.queries import ASCII_LENGTH, trait_grammar
 from litengine.runtime import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +144,24 @@ def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     return out.select("run_id", "budget_id", "container", "bucket", "pos", "piece", "cost")
 
 
+_TOTALS = f"""WITH {_ENTRIES}, items AS (SELECT v AS x FROM e WHERE v IS NOT NULL AND regexp_replace(v, '\\s+', '', 'g') <> ''), sized AS (SELECT CAST(greatest(1, ({ASCII_LENGTH}) // 4) AS BIGINT) AS t FROM items),
+b AS (SELECT budget_id, coalesce(item_overhead, 0) AS o, token_limit - coalesce(item_overhead, 0) AS room FROM pack_budgets WHERE token_limit > coalesce(item_overhead, 0)),
+cut AS (SELECT budget_id, t, o, greatest(1, (t + room - 1) // room) AS n FROM sized, b)
+SELECT budget_id, count(*) AS items, CAST(sum(n) AS BIGINT) AS pieces, CAST(sum(t + n * o) AS BIGINT) AS used, count(*) FILTER (n > 1) AS divided, CAST(0 AS BIGINT) AS overfull, CAST(0 AS BIGINT) AS gaps FROM cut GROUP BY 1"""
+
+
+@query(_TOTALS)
+def p7_totals(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of any packing: no entry lost or divided without need, no container over its limit, none left out of the numbering."""
+    limits = table(spark, d, "pack_budgets").select("budget_id", "token_limit")
+    packed = p7_packed(spark, d)
+    full = packed.groupBy("run_id", "budget_id", "container").agg(F.sum("cost").alias("cost"), F.count(F.lit(1)).alias("pieces"), F.count_if(F.col("piece") == 0).alias("items"), F.count_if(F.col("piece") == 1).alias("divided"))
+    each = full.join(F.broadcast(limits), "budget_id").groupBy("run_id", "budget_id").agg(
+        *(F.sum(c).alias(c) for c in ("items", "pieces", "cost", "divided")), F.count_if(F.col("cost") > F.col("token_limit")).alias("overfull"), (F.max("container") + 1 - F.count(F.lit(1))).alias("gaps")
+    )
+    return each.groupBy("budget_id").agg(*(F.sum(c).alias(c) for c in ("items", "pieces")), F.sum("cost").alias("used"), *(F.sum(c).alias(c) for c in ("divided", "overfull", "gaps")))
+
+
 @query()
 def p7_report(spark: SparkSession, d: str) -> DataFrame:
     """For each budget: containers, the least number that could do (by space alone), and how full they are."""
