@@ -268,7 +268,7 @@ def propagate(pairs: DataFrame, entry: list[str], slot: list[str], rounds: int =
     alone = n.filter("not __tied").withColumn("confidence", F.col("odds") / (1 + F.col("odds"))).drop("__tied")
     tied = n.filter("__tied").drop("__tied").withColumn("b", F.lit(1.0))
     change, done = 0.0, 0
-    while not tied.isEmpty() and done < rounds:
+    while done < rounds:
         for _ in range(STRIDE):
             step = _at_most_one(_at_most_one(tied.withColumn("__old", F.col("b")), entry, "b", "a"), slot, "a", "__new")
             tied = step.withColumn("b", 0.5 * F.col("__old") + 0.5 * F.col("__new")).withColumn("__d", F.abs(F.col("__new") - F.col("__old"))).drop("__new", "__old", "a")
