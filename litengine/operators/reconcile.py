@@ -29,16 +29,21 @@ def presence(mentions: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
 
 def buckets(mentions: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """(keys…, bucket, bucket_ord, etype, source, name). 'Full text' is measured against abstracts only, so an entity may stand in two buckets."""
+    return bucketed(presence(mentions, keys), keys)
+
+
+def bucketed(present: DataFrame, keys: tuple[str, ...] = (), rules: tuple[str, ...] = ("in_both", "only_abstract", "only_curated", "only_full")) -> DataFrame:
+    """The buckets of entities whose three flags are known; of the rules named alone."""
     a, f, c = F.col("a"), F.col("f"), F.col("c")
     which = {"in_both": a & c, "only_abstract": a & ~c, "only_curated": c & ~a, "only_full": f & ~a}
     rule = dict(zip((b[0] for b in BUCKETS), ("in_both", "only_abstract", "only_curated", "only_full", "in_both", "only_abstract", "only_full", "only_curated"), strict=True))
     hits = [
         F.when((F.col("etype") == kind.lower()) & which[rule[key]], F.struct(F.lit(key).alias("bucket"), F.lit(order).alias("bucket_ord"), F.lit(source).alias("source")))
         for key, order, _, kind, source, _ in BUCKETS
+        if rule[key] in rules
     ]
     return (
-        presence(mentions, keys)
-        .select(*keys, "etype", "name", F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("b"))
+        present.select(*keys, "etype", "name", F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("b"))
         .select(*keys, "b.bucket", "b.bucket_ord", "etype", "b.source", "name")
     )
 

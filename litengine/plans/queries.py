@@ -103,6 +103,7 @@ _DKEY = r"nullif(trim(regexp_replace(lower({}), '[^\p{{L}}\p{{M}}\p{{N}}]+', ' '
 # the canonical traits a packed cell holds: a name between dividers or the cell's ends, more often than longer names in the cell hold it
 _BY_QUERY = rf"""WITH {_MENTIONS},
 runs AS (SELECT DISTINCT query_id, {_DKEY.format('summary.disease_query')} AS disease FROM candidates WHERE query_id IS NOT NULL),
+asked AS (SELECT DISTINCT disease FROM runs WHERE disease IS NOT NULL),
 names AS (SELECT DISTINCT lower(trait_name) AS name, {_DKEY.format('trait_name')} AS disease FROM trait_terms WHERE trait_name IS NOT NULL),
 cells AS (SELECT DISTINCT uid, lower(replace(trait_names, chr(92), '')) AS cell FROM sig WHERE trait_names IS NOT NULL),
 held AS (SELECT uid, name, disease, (length(cell) - length(replace(cell, name, ''))) // length(name) AS n FROM cells JOIN names ON contains(cell, name)
@@ -112,24 +113,39 @@ traits AS (SELECT DISTINCT h.uid, disease FROM held h LEFT JOIN inside i ON i.ui
 curated AS (SELECT DISTINCT disease, 'gene' AS etype, regexp_replace(unnest(string_split(genes, ',')), '^\s+|\s+$', '', 'g') AS name FROM sig JOIN traits USING (uid)
   UNION SELECT disease, 'variant', variation_name FROM sig JOIN traits USING (uid) WHERE variation_name IS NOT NULL),
 qart AS (SELECT query_id, pmid, etype, origin, name FROM (SELECT DISTINCT query_id, pmid FROM articles WHERE query_id IS NOT NULL) JOIN mentions_lit USING (pmid)),
-qm AS (SELECT query_id, etype, origin, name FROM qart UNION ALL SELECT query_id, etype, 'curated', name FROM runs JOIN curated USING (disease)),
-qp AS (SELECT query_id, etype, name, bool_or(origin = 'abstract') AS a, bool_or(origin = 'full_text') AS f, bool_or(origin = 'curated') AS c FROM qm GROUP BY 1, 2, 3), """
+qp AS (SELECT query_id, etype, name, bool_or(origin = 'abstract') AS a, bool_or(origin = 'full_text') AS f FROM qart GROUP BY 1, 2, 3),
+qc AS (SELECT query_id, etype, name, true AS c FROM qp SEMI JOIN (SELECT query_id, etype, name FROM runs JOIN curated USING (disease)) USING (query_id, etype, name)),
+lp AS (SELECT CAST(NULL AS VARCHAR) AS disease, query_id, etype, name, a, f, coalesce(c, false) AS c, true AS run FROM qp LEFT JOIN qc USING (query_id, etype, name)
+  UNION ALL SELECT disease, NULL, etype, name, false, false, true, false FROM (SELECT DISTINCT disease, etype, name FROM curated SEMI JOIN asked USING (disease))), """
 
 
-@query(_BY_QUERY + _BUCKETS.replace("bucket_ord, etype", "bucket_ord, query_id, etype").replace("FROM pres", "FROM qp") + " SELECT query_id, bucket, etype, source, name FROM buck")
+def _by_query_buckets() -> str:
+    sql = _BUCKETS.replace("bucket_ord, etype", "bucket_ord, disease, query_id, etype").replace("FROM pres", "FROM lp")
+    return sql.replace("AND c AND NOT a", "AND c AND NOT a AND NOT run")
+
+
+@query(_BY_QUERY + _by_query_buckets() + " SELECT disease, query_id, bucket, etype, source, name FROM buck")
 def entity_crosslink_by_query(spark: SparkSession, d: str) -> DataFrame:
     """All runs in one job: the literature by query_id, the curated records by the run's disease among their traits, however it is typed.
 
-    Curated names are made distinct once for each disease, before any run meets them; a run meets names, not records.
+    What a run's own literature names has a row with its query_id. What is curated for a disease is the same for all its runs and stands
+    once, with the disease and without a query_id: for a run it is `…_only_clinvar` but for the names in the run's `…_in_…_clinvar` bucket.
+    So rows grow with the articles and the records, not with their product, and every bucket of every run can be read off.
     """
     disease = TX.name_key(F.col("summary.disease_query"))
     runs = table(spark, d, "candidates").select("query_id", disease.alias("disease")).filter("query_id is not null and disease is not null").distinct()
     flat = _flat(spark, d, "uid", "genes", "variation_name", "clinical_significance", "trait_names")
     traits = split_packed(spark, d, ("trait_names",), AS.significant(flat, LEVELS)).select("uid", TX.name_key(F.col("item")).alias("disease")).filter("disease is not null").distinct()
-    curated = AS.curated_mentions(flat, LEVELS, keep=("uid",)).join(traits, "uid").drop("uid").distinct()
+    traits = traits.join(runs.select("disease").distinct(), "disease", "left_semi")
+    curated = AS.curated_mentions(flat, LEVELS, keep=("uid",)).join(traits, "uid").select("disease", "etype", "name").distinct()
     lit = LI.mentions(LI.fetched_once(_articles(spark, d).filter(F.col("query_id").isNotNull()), ("query_id", "pmid")), keep=("query_id",))
-    both = lit.unionByName(runs.join(curated, "disease").drop("disease"))
-    return RE.buckets(both, ("query_id",)).select("query_id", "bucket", "etype", "source", "name")
+    present = RE.presence(lit, ("query_id",)).drop("c")
+    # a run meets the curated names that its own literature names, and no others
+    known = present.join(runs, "query_id").join(curated, ["disease", "etype", "name"], "left_semi").select("query_id", "etype", "name").distinct().withColumn("c", F.lit(True))
+    present = present.join(known, ["query_id", "etype", "name"], "left").withColumn("c", F.coalesce("c", F.lit(False)))
+    own = RE.bucketed(present, ("query_id",), ("in_both", "only_abstract", "only_full")).withColumn("disease", F.lit(None).cast("string"))
+    shared = RE.bucketed(curated.withColumns({"a": F.lit(False), "f": F.lit(False), "c": F.lit(True)}), ("disease",), ("only_curated",)).withColumn("query_id", F.lit(None).cast("string"))
+    return own.unionByName(shared).select("disease", "query_id", "bucket", "etype", "source", "name")
 
 
 @query(f"WITH {_MENTIONS}, {_BUCKETS} SELECT bucket, etype, source, name FROM buck".replace("WHERE abstract IS NOT NULL AND", "WHERE FALSE AND"))
