@@ -140,9 +140,9 @@ def entity_crosslink_by_query(spark: SparkSession, d: str) -> DataFrame:
     curated = AS.curated_mentions(flat, LEVELS, keep=("uid",)).join(traits, "uid").select("disease", "etype", "name").distinct()
     lit = LI.mentions(LI.fetched_once(_articles(spark, d).filter(F.col("query_id").isNotNull()), ("query_id", "pmid")), keep=("query_id",))
     present = RE.presence(lit, ("query_id",)).drop("c")
-    # a run meets the curated names that its own literature names, and no others
-    known = present.join(runs, "query_id").join(curated, ["disease", "etype", "name"], "left_semi").select("query_id", "etype", "name").distinct().withColumn("c", F.lit(True))
-    present = present.join(known, ["query_id", "etype", "name"], "left").withColumn("c", F.coalesce("c", F.lit(False)))
+    # a run's own names look for themselves among the curated ones of its disease; those of many runs are never paired with it
+    met = present.join(runs, "query_id", "left").join(curated.withColumn("c", F.lit(True)), ["disease", "etype", "name"], "left")
+    present = met.groupBy("query_id", "etype", "name").agg(*(F.bool_or(F.coalesce(x, F.lit(False))).alias(x) for x in ("a", "f", "c")))
     own = RE.bucketed(present, ("query_id",), ("in_both", "only_abstract", "only_full")).withColumn("disease", F.lit(None).cast("string"))
     shared = RE.bucketed(curated.withColumns({"a": F.lit(False), "f": F.lit(False), "c": F.lit(True)}), ("disease",), ("only_curated",)).withColumn("query_id", F.lit(None).cast("string"))
     return own.unionByName(shared).select("disease", "query_id", "bucket", "etype", "source", "name")
