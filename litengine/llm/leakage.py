@@ -56,9 +56,9 @@ _CLUSTER = re.compile(rf"(?:[\u1100-\u1112][\u1161-\u1175][\u11a8-\u11c2]?|.)[{_
 def words(text: str) -> list[str]:
     """Words and figures; case kept (see is_specific)."""
     if "<" in text or not text.isascii():
-        text = _TAG.sub("", text) if "<" in text else text
+        text = _TAG.sub("", text)
         if not text.isascii():
-            text = unicodedata.normalize("NFKC", _TAG.sub("", text)).translate(_DASHES)
+            text = unicodedata.normalize("NFKC", text).translate(_DASHES)
     return _WORD.findall(text)
 
 
