@@ -35,8 +35,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 LEAST, GAP, COVERAGE, SPECIFIC, LENGTH = 3, 5, 0.4, 2, 25
-#: Words of items in one automaton: about 100 bytes each, so a broadcast stays below 500 MB.
-A_PASS = 4_000_000
+#: Words of items in one automaton: about 100 bytes each when frozen, so a broadcast stays near 100 MB, and 1 KB each while it is built.
+A_PASS = 1_000_000
 #: Share of the words a leak needs that must stand in unchanged runs of LEAST words or more; the rest may be changed.
 ANCHORED = 0.5
 _DASHES = str.maketrans({c: "-" for c in "\u2010\u2011\u2012\u2013\u2014\u2015\u2212"})
