@@ -14,6 +14,7 @@ NOTATIONS = (FULL_HGVS, CDNA, PROTEIN, RSID)
 
 # Fixed value: a gene acronym. \z, not $: a trailing line feed is no part of it.
 ACRONYM = r"^[A-Z0-9\-]{2,8}\z"
+# Fixed value: the gene of a variant, in parentheses before a colon.
 GENE_IN_VARIANT = r"\(([A-Z0-9\-]+)\):"
 
 
