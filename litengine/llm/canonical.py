@@ -25,10 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from litengine.llm.common import spread_join
 from litengine.runtime import checkpoint
 
-#: Copies of the answer to each value, so that one value holding a third of all entries is spread over as many tasks.
-SALTS = 16
 #: Least soft TF-IDF score of a match. One edit in a three-letter token scores 0.67.
 LEAST_SCORE = 0.6
 #: A name that one word may be missing from, the share of its weight that must be left, and the lead over every other entry.
@@ -185,9 +184,8 @@ def map_entries(entries: DataFrame, names: DataFrame, exact: DataFrame | None =
     real = entries.filter(F.col("value").isNotNull() & (F.length(F.regexp_replace("value", r"[\s\x{A0}]+", "")) > 0))
     if exact is not None:
         real = real.join(exact.select(F.col(exact.columns[0]).alias("value")).filter("value is not null").distinct(), "value", "left_anti")
-    answers = match_values(real.select("value").distinct(), names, least_score)
-    salted = answers.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    counts = checkpoint(real.groupBy("value").agg(F.count(F.lit(1)).alias("n")))  # the distinct values, and how hot they are
+    answers = match_values(counts.select("value"), names, least_score)
     keys = [c for c in entries.columns if c != "value"]
-    spread = real.withColumn("__salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int"))
-    out = spread.join(salted, ["value", "__salt"], "left").drop("__salt")
+    out = spread_join(real, answers, ["value"], F.struct(*keys) if keys else F.lit(0), "left", counts)
     return out.withColumn("term_id", F.coalesce("term_id", F.lit(0)).cast("long"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litengine.runtime import table
@@ -24,3 +24,18 @@ def entries(spark, d: str, lists: tuple[str, ...] = LISTS) -> DataFrame:
     runs = runs_once(spark, d, *lists)
     parts = F.array(*(F.struct(F.lit(n).alias("bucket"), F.col(n).alias("l")) for n in lists))
     return runs.select("run_id", F.explode(parts).alias("b")).select("run_id", "b.bucket", F.posexplode("b.l").alias("pos", "value"))
+
+
+#: A key is hot if it holds more than one in SHARES of all rows, and at least HOT; there are fewer than SHARES such keys.
+SHARES, HOT = 1_000, 10_000
+
+
+def spread_join(many: DataFrame, few: DataFrame, keys: list[str], by: Column, how: str = "inner", counts: DataFrame | None = None, least: int = HOT) -> DataFrame:
+    """many joined with few on keys that are never null; only hot keys are salted: their rows in `few` are copied as often as their rows in
+    `many` need parts, and a row's part follows from the hash of `by`. counts: (keys…, n) of `many`, if they are there already."""
+    counts = many.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")) if counts is None else counts
+    limit = max((counts.agg(F.sum("n")).first()[0] or 0) / SHARES, least)
+    hot = F.broadcast(counts.filter(F.col("n") > limit).select(*keys, F.ceil(F.col("n") / limit).cast("int").alias("__copies")))
+    parts = many.join(hot, keys, "left").withColumn("__salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("__copies")).cast("int"), F.lit(0))).drop("__copies")
+    copies = few.join(hot, keys, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__copies", F.lit(1)) - 1))).drop("__copies")
+    return parts.join(copies, [*keys, "__salt"], how).drop("__salt")

@@ -29,9 +29,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from litengine.functions.text import name_key
-from litengine.llm.canonical import SALTS, folded, joined
+from litengine.llm.canonical import folded, joined
+from litengine.llm.common import spread_join
 from litengine.operators.multivalue import Cell, Grammar
-from litengine.runtime import checkpoint, parallelism
+from litengine.runtime import checkpoint
 
 log = logging.getLogger("litengine")
 
@@ -307,11 +308,9 @@ def candidates(entries: DataFrame, records: DataFrame, names: DataFrame, transcr
     bare = asked.filter(F.col("g") == NO_GENE).join(have, ["kind", "change"]).select("gene", "kind", "change", F.col("change").alias("rchange"), F.lit("same").alias("level"), "g")
     pairs = near.unionByName(bare).join(known, ["gene", "kind", "rchange"]).drop("gene")
 
-    # descriptions of the runs, repeats merged; an often repeated one meets copies of its few candidates
+    # descriptions of the runs, repeats merged
     described = said.groupBy("run_id", *DESCRIPTION).agg(F.max("transcript").alias("transcript"))
-    salts = max(SALTS, parallelism(entries.sparkSession))
-    described = described.withColumn("__salt", F.pmod(F.xxhash64("run_id"), F.lit(salts)).cast("int"))
-    pairs = described.join(pairs.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["g", "kind", "change", "__salt"]).drop("__salt")
+    pairs = spread_join(described, pairs, ["g", "kind", "change"], F.col("run_id"))
     named, shared = F.col("g") != NO_GENE, F.when(F.array_contains("traits", F.col("trait")), "shared").otherwise("not")
     told = (F.col("trait") != "") & (F.size("traits") > 0)
     tx = F.when(F.col("transcript").isNull() | F.col("rtx").isNull(), None).when(F.col("transcript") == F.col("rtx"), "same").otherwise("other")

@@ -83,3 +83,15 @@ def test_frequencies(spark):
     f = spark.createDataFrame([("a", 9, 6), ("b", 9, 5), ("c", 2, 2), ("d", 4, 4)], "item string, n_entries long, n_runs long")
     assert {r["item"]: r["mark"] for r in FR.marked(f, 100).collect()} == {"a": "common", "b": None, "c": "rare", "d": None}
     assert FR.marked(f, 10).filter(F.col("mark") == "common").count() == 2
+
+
+@pytest.mark.parametrize("least", [1, 10_000])
+def test_hot_keys_are_spread_and_nothing_is_lost(spark, least):
+    from litengine.llm.common import spread_join
+
+    many = spark.createDataFrame([(i, "hot" if i % 3 == 0 else f"k{i}", "c") for i in range(300)], "id long, key string, n string")
+    few = spark.createDataFrame([("hot", 1), ("hot", 2), ("k1", 3), ("none", 4)], "key string, v int")
+    got = sorted((r["id"], r["v"]) for r in spread_join(many, few, ["key"], F.col("id"), least=least).collect())
+    assert got == sorted([(i, v) for i in range(0, 300, 3) for v in (1, 2)] + [(1, 3)])
+    assert spread_join(many, few, ["key"], F.col("id"), "left", least=least).count() == 300 + 100
+    assert spread_join(many.limit(0), few, ["key"], F.col("id")).count() == 0
