@@ -117,8 +117,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     from litengine.llm import readability as RD
 
     docs = table(spark, d, "documents")
-    language = RD.fit_language(RD.sample_texts(docs))
-    return RD.bands(docs, RD.fit(RD.labelled_texts(docs, table(spark, d, "reading_labels")), language))
+    return RD.bands(docs, RD.learn(docs, table(spark, d, "reading_labels"), RD.learn_language(docs)))
 
 
 @query()

@@ -3,6 +3,7 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from litengine.llm import leakage as LE
 from litengine.llm import readability as RD
@@ -219,3 +220,53 @@ def test_sample_is_the_same_in_every_run(spark):
     docs = spark.createDataFrame([(i, f"t{i}") for i in range(50)] + [(60, None), (None, "x")], "doc_id long, text string")
     assert RD.sample_texts(docs, 10) == RD.sample_texts(docs.repartition(7), 10)
     assert len(RD.sample_texts(docs, 10)) == 10
+
+
+def test_language_rests_on_all_texts(spark):
+    """Sums over blocks are those over all texts, and so is what is learned."""
+    rng = random.Random(7)
+    texts = [text(k, 3, rng) for k in (EASY, HARD, GERMAN, FRENCH) for _ in range(12)] + [None, "", "12 \u00b6", "\u8fd9\u4e00\u70b9 \u51fa\u4e4e", "THE DOSE", "it's x\u00e9\u00ff"]
+    whole, parts = next(RD.Words.blocks(texts, 1 << 62)), [RD.Words.unpack(*b.pack()) for b in RD.Words.blocks(texts, 40)]
+    words = [[w for s in RD.sentences(t or "") for w in s] for t in texts]
+    assert [x for b in parts for x in b.english(None)] == list(whole.english(None)) == [RD.looks_english(ws) and not RD.is_foreign_script(" ".join(ws)) for ws in words if ws]
+    language = RD.fit_language(texts)
+    assert len(parts) > 5
+    for weights in (None, language):
+        n = {}
+        for b in parts:
+            for r in b.tally(None, weights)[0].itertuples(index=False):
+                a = n.setdefault(r.word, [0, 0])
+                a[0], a[1] = a[0] + r.other, a[1] + r.english
+        counts, english, changed = whole.tally(None, weights)
+        assert n == {r.word: [r.other, r.english] for r in counts.itertuples(index=False)}
+        assert (english, changed) == (sum(b.tally(None, weights)[1] for b in parts), sum(b.tally(None, weights)[2] for b in parts))
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    assert abs(RD.learn_language(docs) - language).max() < 1e-12
+    assert not RD.learn_language(docs.limit(0)).any()
+    assert (RD.most_of_a_word(3), RD.most_of_a_word(3_000), RD.most_of_a_word(300_000)) == (50, 50, 5_000)
+
+
+def test_executors_fit_what_the_driver_fits(spark):
+    rng = random.Random(8)
+    rows = [(i, text(HARD if i % 3 == 0 else EASY, 6, rng)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "r", 4 if i % 3 == 0 else 1) for i in range(60)] + [(5, "s", 3)], "doc_id long, rater string, band int")
+    language = RD.learn_language(docs)
+    here, there = RD.learn(docs, labels, language), RD.learn(docs, labels, language, on_driver=0)
+    assert abs(here.weights - there.weights).max() < 1e-9
+    assert abs(here.bias - there.bias).max() < 1e-9
+    assert RD.learn(docs, labels.filter("band = 0"), language, on_driver=-1) is None
+
+
+def test_reading_level_rests_on_all_documents(spark, tmp_path):
+    """Of 4,300 labelled documents those with the last hashes are the only ones of their band and vocabulary."""
+    from litengine.llm import queries as Q
+
+    rng = random.Random(9)
+    ids = [r[0] for r in spark.range(4_300).selectExpr("id").orderBy(F.xxhash64("id"), "id").collect()]
+    rows = [(d, text(EASY if i < 4_000 else HARD, 6, rng)) for i, d in enumerate(ids)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(d, "r", 1 if i < 4_000 else 4) for i, d in enumerate(ids)], "doc_id long, rater string, band int").write.parquet(f"{tmp_path}/reading_labels.parquet")
+    got = {r["doc_id"]: r["band"] for r in Q.QUERIES["p10_found"](spark, str(tmp_path)).collect()}
+    assert got == {d: 1 if i < 4_000 else 4 for i, d in enumerate(ids) if len(rows[i][1].split()) >= 40}
+    assert sum(b == 4 for b in got.values()) > 100
